@@ -29,7 +29,11 @@ def feature_set(spec: str) -> tuple:
 
 def tfidf(records: DataFrame, column: str, low: int = 3, high: int = 5) -> DataFrame:
     """(entity_id, gram, weight): L2-normal rows of tf * (ln((1 + N) / (1 + df)) + 1) over character grams."""
-    grams = F.flatten(F.array(*[F.when(F.length(column) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.length(column) - n + 1, F.lit(1))), lambda i, n=n: F.substring(F.col(column), i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in range(low, high + 1)]))
+    def of_length(n):
+        at = F.sequence(F.lit(1), F.greatest(F.length(column) - n + 1, F.lit(1)))
+        return F.when(F.length(column) >= n, F.transform(at, lambda i: F.substring(F.col(column), i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+
+    grams = F.flatten(F.array(*[of_length(n) for n in range(low, high + 1)]))
     tf = records.select("entity_id", F.explode(grams).alias("gram")).groupBy("entity_id", "gram").agg(F.count("*").alias("tf"))
     df = tf.groupBy("gram").agg(F.count("*").alias("df"))
     total = records.agg(F.count("*").alias("n"))  # one row
