@@ -161,7 +161,7 @@ def fit(pages: DataFrame, max_pages: int = 200) -> list | None:
     """Learn from at most `max_pages` pages that mark their article, those of lowest hash; None without any."""
     small_batches(pages.sparkSession)
     ids = pages.where("html is not null").select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(max_pages)
-    rows = pages.join(F.broadcast(ids), "page_id", "left_semi").select("html")  # at most max_pages ids
+    rows = pages.where("html is not null").join(F.broadcast(ids), "page_id", "left_semi").select("html")  # at most max_pages ids
 
     def collect(frames):
         for f in frames:
