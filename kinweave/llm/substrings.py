@@ -8,19 +8,72 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, hash_words, ngram_hashes, small_batches, table, written
+from .common import WORD, hash_words, mix, ngram_hashes, small_batches, table, written
 
 WINDOW = 20
 SEED = 8
+SPAN = WINDOW - SEED + 1
+#: Odd multipliers of the two span hashes, and their inverses modulo 2 ** 64.
+BASES = tuple((np.uint64(b), np.uint64(pow(b, -1, 1 << 64))) for b in (0x9E3779B97F4A7C17, 0xD6E8FEB86659FD93))
 
 
-def anchors(h: np.ndarray) -> np.ndarray:
-    """Starts of the seeds that winnowing picks: each window of WINDOW words has one, chosen by its words alone."""
+def span_hashes(h: np.ndarray, lo: np.ndarray, hi: np.ndarray, base: int = 0) -> np.ndarray:
+    """Hashes of the word runs [lo, hi), by differences of polynomial prefix sums."""
+    b, inverse = BASES[base]
+    with np.errstate(over="ignore"):
+        up = np.concatenate([[np.uint64(1)], np.cumprod(np.full(len(h), b))])
+        down = np.concatenate([[np.uint64(1)], np.cumprod(np.full(len(h), inverse))])
+        total = np.concatenate([[np.uint64(0)], np.cumsum(h * up[:-1])])
+        return mix((total[hi] - total[lo]) * down[lo] + (hi - lo).astype(np.uint64))
+
+
+def anchors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Seed hash, place, first window and count of windows for each anchor that winnowing picks.
+
+    A window's anchor depends on its words alone, so equal windows have equal
+    anchors at equal offsets; the windows of one anchor follow one another.
+    """
     g = ngram_hashes(h, SEED)
-    span = WINDOW - SEED + 1
-    if len(g) < span:
+    if len(g) < SPAN:
+        none = np.zeros(0, dtype=np.int64)
+        return none.astype(np.uint64), none, none, none
+    at = np.lib.stride_tricks.sliding_window_view(g, SPAN).argmin(axis=1) + np.arange(len(g) - SPAN + 1)
+    lo = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    return g[at[lo]], at[lo], lo, np.diff(np.append(lo, len(at)))
+
+
+def chunks_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors with the hash of all words of their windows, once for each content: a, c, first window, windows."""
+    a, at, lo, n = anchors(h)
+    if not len(a):
+        return a, a, lo, n
+    with np.errstate(over="ignore"):
+        c = mix(span_hashes(h, lo, lo + n + WINDOW - 1) + (at - lo).astype(np.uint64))
+    _, first = np.unique(np.stack([a, c]), axis=1, return_index=True)
+    return a[first], c[first], lo[first], n[first]
+
+
+def window_hashes(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return span_hashes(h, at, at + WINDOW), span_hashes(h, at, at + WINDOW, 1)
+
+
+def own_repeats(h: np.ndarray) -> np.ndarray:
+    """Windows whose words also start earlier in the same text."""
+    a, _, lo, n = anchors(h)
+    _, inverse, often = np.unique(a, return_inverse=True, return_counts=True)
+    twice = often[inverse] > 1 if len(a) else np.zeros(0, dtype=bool)
+    if not twice.any():
         return np.zeros(0, dtype=np.int64)
-    return np.unique(np.lib.stride_tricks.sliding_window_view(g, span).argmin(axis=1) + np.arange(len(g) - span + 1))
+    at = spread(lo[twice], n[twice])
+    x, y = window_hashes(h, at)
+    _, first = np.unique(np.stack([x, y]), axis=1, return_index=True)
+    return np.delete(at, first)
+
+
+def spread(lo, n) -> np.ndarray:
+    """All window starts of runs (first, count)."""
+    lo, n = np.asarray(lo, dtype=np.int64), np.asarray(n, dtype=np.int64)
+    return np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum()) if len(lo) else lo
 
 
 def cut(words: list[str], starts) -> tuple[list[str], int]:
@@ -34,59 +87,78 @@ def cut(words: list[str], starts) -> tuple[list[str], int]:
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, starts): windows of WINDOW words whose words also start earlier.
-
-    Seeds that occur once are left; around each other one, the windows that hold
-    it are compared by two 64-bit hashes, so a match grows both ways as long as
-    its windows have an earlier copy. Pairs of occurrences are never listed:
-    every window is compared with its first occurrence.
+    """(doc_id, runs): runs (first, count) of windows whose words also start in a document of smaller id.
+
+    Documents meet on winnowed anchors. Around each shared anchor the whole
+    stretch of windows that hold it is compared first, by its hash: later
+    documents with an equal stretch are done. Where the stretches of one anchor
+    differ, the match grows both ways window by window, but only for the first
+    document of each distinct stretch, as all others equal one of these. So
+    pairs of occurrences are never listed, and copies add no window rows.
     """
     small_batches(docs.sparkSession)
+    rows = docs.where("doc_id is not null").select("doc_id", "text")
 
-    def seeds(frames):
+    def chunks(frames):
         for f in frames:
+            out = []
             for i, text in zip(f["doc_id"], f["text"]):
-                h = hash_words(WORD.findall(text or ""))
-                at = anchors(h)
-                if len(at):
-                    yield pd.DataFrame({"a": ngram_hashes(h, SEED)[at].astype(np.int64), "doc_id": i, "at": at})
-
-    seed = written(docs.where("doc_id is not null").select("doc_id", "text").mapInPandas(seeds, "a long, doc_id long, at int"), "seeds")
-    often = seed.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").select("a")
-    held = seed.join(often, "a", "left_semi").groupBy("doc_id").agg(F.collect_set("at").alias("ats"))
+                a, c, lo, n = chunks_of(hash_words(WORD.findall(text or "")))
+                out.append((a, c, np.full(len(a), i, dtype=np.int64), lo, n))
+            if out:
+                a, c, i, lo, n = (np.concatenate(v) for v in zip(*out))
+                yield pd.DataFrame({"a": a.astype(np.int64), "c": c.astype(np.int64), "doc_id": i, "lo": lo, "n": n})
+
+    chunk = written(rows.mapInPandas(chunks, "a long, c long, doc_id long, lo int, n short"), "chunks")
+    often = written(chunk.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select("a"), "anchors")
+    shared = written(chunk.join(often, "a", "left_semi"), "shared")
+    groups = written(shared.groupBy("a", "c").agg(F.min("doc_id").alias("first"), F.count("*").alias("k")), "groups")
+    mixed = groups.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select("a")
+    equal = shared.join(groups.where("k > 1").select("a", "c", "first"), ["a", "c"]).where("doc_id > first").select("doc_id", "lo", "n")
+    lead = groups.join(written(mixed, "mixed"), "a", "left_semi").select(F.col("first").alias("doc_id"), "a", "c")
+    held = shared.join(lead, ["a", "c", "doc_id"], "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
 
     def windows(frames):
         for f in frames:
-            for i, text, ats in zip(f["doc_id"], f["text"], f["ats"]):
+            out = []
+            for i, text, runs in zip(f["doc_id"], f["text"], f["runs"]):
                 h = hash_words(WORD.findall(text or ""))
-                near = (np.asarray(ats, dtype=np.int64)[:, None] - np.arange(WINDOW - SEED + 1)).ravel()
-                near = np.unique(near[(near >= 0) & (near <= len(h) - WINDOW)])
-                if len(near):
-                    yield pd.DataFrame({"x": ngram_hashes(h, WINDOW)[near].astype(np.int64), "y": ngram_hashes(~h, WINDOW)[near].astype(np.int64), "doc_id": i, "at": near})
+                at = np.unique(spread([r["lo"] for r in runs], [r["n"] for r in runs]))
+                at = at[at <= len(h) - WINDOW]  # rows that share an id may have other texts
+                x, y = window_hashes(h, at)
+                _, first = np.unique(np.stack([x, y]), axis=1, return_index=True)
+                out.append((x[first], y[first], np.full(len(first), i, dtype=np.int64), at[first]))
+            if out:
+                x, y, i, at = (np.concatenate(v) for v in zip(*out))
+                yield pd.DataFrame({"x": x.astype(np.int64), "y": y.astype(np.int64), "doc_id": i, "lo": at})
 
-    grown = written(docs.select("doc_id", "text").join(held, "doc_id").mapInPandas(windows, "x long, y long, doc_id long, at int"), "windows")
-    first = grown.groupBy("x", "y").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = grown.join(first, ["x", "y"]).where("struct(doc_id, at) <> first")
-    return later.groupBy("doc_id").agg(F.collect_set("at").alias("starts"))
+    grown = written(rows.join(held, "doc_id").mapInPandas(windows, "x long, y long, doc_id long, lo int"), "windows")
+    first = written(grown.groupBy("x", "y").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last"), "first")
+    later = grown.join(first, ["x", "y"]).where("doc_id > first").select("doc_id", "lo", F.lit(1).cast("short").alias("n"))
+    return equal.union(later).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
     """All columns of docs with text less its repeated words (joined by one space where any went), n_words and n_removed.
 
-    Null or empty text has no words and stays as it is. Rows with one doc_id are
-    cut alike, by all that repeats under that id; a null doc_id is never cut.
+    Null or empty text has no words and stays as it is. Rows that share a doc_id
+    are not compared with each other, but cut alike, by all that repeats under
+    that id; a null doc_id is compared with itself only.
     """
     small_batches(docs.sparkSession)
     cols = docs.columns
-    marked = docs.join(repeats(docs).withColumnRenamed("starts", "__starts"), "doc_id", "left").select(*[docs[c] for c in cols], "__starts")
+    marked = docs.join(repeats(docs).withColumnRenamed("runs", "__runs"), "doc_id", "left").select(*[docs[c] for c in cols], "__runs")
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + ", __n_words long, __n_removed long"
 
     def run(frames):
         for f in frames:
             texts, n, gone = [], [], []
-            for text, starts in zip(f["text"], f["__starts"]):
+            for text, runs in zip(f["text"], f["__runs"]):
                 words = WORD.findall(text or "")
-                left, k = cut(words, starts) if starts is not None else (words, 0)
+                starts = own_repeats(hash_words(words))
+                if runs is not None:
+                    starts = np.concatenate([starts, spread([r["lo"] for r in runs], [r["n"] for r in runs])])
+                left, k = cut(words, starts[starts <= len(words) - WINDOW]) if len(starts) else (words, 0)
                 texts.append(" ".join(left) if k else text)
                 n.append(len(words))
                 gone.append(k)
