@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,10 +12,11 @@ from pyspark.sql import functions as F
 from .common import hash_words, mix, ngram_hashes, small_batches, table, written
 
 K = 5
-SKETCHES = 16
-PICKED = 2
+SKETCHES = 32
+#: Buckets of up to so many texts are compared whole in one task.
+SMALL = 256
 TOKEN = re.compile(r"[^\W_]+")
-SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+SEEDS, MORE = (mix(np.arange(1, 2 * SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)).reshape(2, -1)
 
 
 def shingle_hashes(h: np.ndarray) -> np.ndarray:
@@ -22,8 +24,24 @@ def shingle_hashes(h: np.ndarray) -> np.ndarray:
     return ngram_hashes(h, min(K, len(h))) if len(h) else h
 
 
+def two_smallest(values: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    """For each odd factor, the places of the smallest and next product; equal places for a single value."""
+    out, step = [], max(1, (1 << 21) // len(values))
+    for at in range(0, len(factors), step):
+        with np.errstate(over="ignore"):
+            v = values * factors[at:at + step, None]
+        one = v.argmin(axis=1)
+        v[np.arange(len(v)), one] = np.uint64(0xFFFFFFFFFFFFFFFF)
+        out.append(np.stack([one, v.argmin(axis=1) if len(values) > 1 else one], axis=1))
+    return np.concatenate(out)
+
+
 def order_minhash(h: np.ndarray) -> list[int]:
-    """SKETCHES hashes, each of the PICKED minimum occurrence-labelled k-mers in text order."""
+    """SKETCHES hashes, each of two minimum occurrence-labelled k-mers in text order and two minimum distinct ones.
+
+    The distinct ones keep texts apart that share little but one k-mer repeated
+    very often, whose labelled occurrences would fill both sketches.
+    """
     k = shingle_hashes(h)
     order = np.argsort(k, kind="stable")
     s = k[order]
@@ -32,16 +50,11 @@ def order_minhash(h: np.ndarray) -> list[int]:
     label = np.empty(len(k), dtype=np.uint64)
     label[order] = (np.arange(len(s)) - start).astype(np.uint64)
     with np.errstate(over="ignore"):
-        marked = mix(k + label * np.uint64(0xD6E8FEB86659FD93))
-        out = []
-        for seed in SEEDS:
-            v = mix(marked ^ seed)
-            at = np.sort(np.argpartition(v, PICKED)[:PICKED]) if len(v) > PICKED else np.arange(len(v))
-            x = seed
-            for a in marked[at]:
-                x = mix(x * np.uint64(31) + a)
-            out.append(int(x.astype(np.int64)))
-    return out
+        marked, distinct = mix(k + label * np.uint64(0xD6E8FEB86659FD93)), mix(~s[first])
+        x = SEEDS
+        for part in (*marked[np.sort(two_smallest(marked, SEEDS), axis=1)].T, *distinct[two_smallest(distinct, MORE)].T):
+            x = mix(x * np.uint64(31) + part)
+    return x.astype(np.int64).tolist()
 
 
 def distance_within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
@@ -75,15 +88,30 @@ def distance_within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     return None
 
 
-def alike(a: np.ndarray, b: np.ndarray, threshold: float = 0.8) -> bool:
-    """Jaccard of shingles and edit similarity of words both at least threshold."""
-    x, y = np.unique(shingle_hashes(a)), np.unique(shingle_hashes(b))
+def alike(a: np.ndarray, b: np.ndarray, threshold: float = 0.8, x: np.ndarray | None = None, y: np.ndarray | None = None) -> bool:
+    """Jaccard of shingles and edit similarity of words both at least threshold; x and y are the distinct shingles where known."""
+    x = np.unique(shingle_hashes(a)) if x is None else x
+    y = np.unique(shingle_hashes(b)) if y is None else y
+    if min(len(x), len(y)) < threshold * max(len(x), len(y)):
+        return False
     both = len(np.intersect1d(x, y, assume_unique=True))
     if both < threshold * (len(x) + len(y) - both):
         return False
     return distance_within(a, b, int((1 - threshold) * max(len(a), len(b)) + 1e-9)) is not None
 
 
+def links_within(reps: list[int], words: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
+    """Links that join all like texts of one small bucket; texts that are already joined are not compared."""
+    sets, label, out = [np.unique(shingle_hashes(w)) for w in words], list(range(len(reps))), []
+    for i in range(len(reps)):
+        for j in range(i):
+            if label[i] != label[j] and alike(words[i], words[j], threshold, sets[i], sets[j]):
+                out.append((reps[i], reps[j]))
+                old, new = label[i], label[j]
+                label = [new if v == old else v for v in label]
+    return out
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, class_id) of edges (u, v): the smallest id that links reach, by large and small stars."""
     e = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "edges")
@@ -104,11 +132,13 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(doc_id, class_id) for every row; class_id is the smallest doc_id of its near copies.
 
-    Equal word sequences are one text from the start. Each sketch bucket has a
-    star around its smallest text; what fails there is dealt with around the
-    next one until nothing is left, so buckets have no cap and no list of all
-    pairs. Null or empty texts are alike to nothing and keep their own id;
-    repeated rows get the same class.
+    Equal word sequences are one text from the start. Texts that share a sketch
+    are a bucket. In buckets of up to SMALL texts all are compared in one task;
+    equal buckets are dealt with once. Larger ones are compared with leaders
+    spread over them, and what is like a leader or is one needs no more there;
+    the leaders double from round to round until what is left is small. Null or
+    empty texts are alike to nothing and keep their own id; repeated rows get
+    the same class.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -131,30 +161,45 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     base = written(docs.select("doc_id", "text").mapInPandas(sketch, "doc_id long, k1 long, k2 long, s array<long>, w binary"), "sketches")
     reps = base.where("k1 is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("s").alias("s"))
     reps = written(reps, "texts")
-    words = base.select(F.col("doc_id").alias("rep"), "w").join(reps.select("rep"), "rep", "left_semi").dropDuplicates(["rep"])
     left = reps.select("rep", F.posexplode("s").alias("j", "s"))
-    many = left.groupBy("j", "s").agg(F.count("*").alias("n"), F.min("rep").alias("lead")).where("n > 1")
-    left = written(left.join(many.select("j", "s"), ["j", "s"], "left_semi"), "buckets")
+    many = left.groupBy("j", "s").agg(F.count("*").alias("n")).where("n > 1")
+    left = written(left.join(written(many, "sizes"), ["j", "s"]), "buckets")
+    words = base.select(F.col("doc_id").alias("rep"), "w").join(left.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"])
+    words = written(words, "words")
 
     def verify(frames):
         for f in frames:
-            ok = [alike(np.frombuffer(a, "<u4").astype(np.uint64), np.frombuffer(b, "<u4").astype(np.uint64), threshold) for a, b in zip(f["wa"], f["wb"])]
+            ok = [alike(of_bytes(a), of_bytes(b), threshold) for a, b in zip(f["wa"], f["wb"])]
             yield f[["u", "v"]][ok]
 
-    links = None
-    while not left.isEmpty():
-        lead = left.groupBy("j", "s").agg(F.min("rep").alias("lead"))
-        led = written(left.join(lead, ["j", "s"]).where("rep <> lead"), "led")
-        pairs = led.select(F.col("rep").alias("u"), F.col("lead").alias("v")).distinct()
+    def compare(f):
+        f = f.sort_values("rep")
+        return pd.DataFrame(links_within(f["rep"].tolist(), [of_bytes(w) for w in f["w"]], threshold), columns=["u", "v"], dtype="int64")
+
+    small, hot, parts, leaders = left.where(f"n <= {SMALL}").drop("n"), left.where(f"n > {SMALL}").drop("n"), [], 1
+    while not hot.isEmpty():
+        lead = written(hot.groupBy("j", "s", F.expr(f"pmod(xxhash64(rep), {leaders})").alias("slot")).agg(F.min("rep").alias("lead")).drop("slot"), "leaders")
+        led = written(hot.join(lead, ["j", "s"]).where("rep <> lead"), "led")
+        pairs = written(led.select(F.col("rep").alias("u"), F.col("lead").alias("v")).distinct(), "pairs")
         full = pairs.join(words.select(F.col("rep").alias("u"), F.col("w").alias("wb")), "u").join(words.select(F.col("rep").alias("v"), F.col("w").alias("wa")), "v")
         good = written(full.mapInPandas(verify, "u long, v long"), "links")
-        links = good if links is None else links.union(good)
-        rest = led.join(good.select(F.col("u").alias("rep"), F.col("v").alias("lead")), ["rep", "lead"], "left_anti").select("rep", "j", "s")
-        left = written(rest, "buckets")
-    found = reps.select("k1", "k2", "rep")
-    if links is not None:
-        found = found.join(components(links), F.col("rep") == F.col("id"), "left").select("k1", "k2", F.coalesce("class_id", "rep").alias("rep"))
-    return base.select("doc_id", "k1", "k2").join(found, ["k1", "k2"], "left").select("doc_id", F.coalesce("rep", "doc_id").alias("class_id"))
+        parts.append(good)
+        done = led.join(good.select(F.col("u").alias("rep"), F.col("v").alias("lead")), ["rep", "lead"], "left_semi").select("rep", "j", "s").union(lead.select(F.col("lead").alias("rep"), "j", "s"))
+        rest = written(hot.join(written(done, "done"), ["rep", "j", "s"], "left_anti").select("rep", "j", "s"), "rest")
+        counted = written(rest.groupBy("j", "s").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
+        rest = rest.join(counted, ["j", "s"])
+        small = small.unionByName(rest.where(f"n <= {SMALL}").drop("n"))
+        hot, leaders = rest.where(f"n > {SMALL}").drop("n"), 2 * leaders
+    sets = small.groupBy("j", "s").agg(F.sort_array(F.collect_list("rep")).alias("reps")).select("reps").distinct()  # at most SMALL reps each
+    member = sets.select(F.xxhash64("reps").alias("id"), F.explode("reps").alias("rep"))
+    parts.append(member.join(words, "rep").groupBy("id").applyInPandas(compare, "u long, v long"))
+    links = reduce(DataFrame.union, parts)
+    found = reps.select("k1", "k2", "rep").join(components(links), F.col("rep") == F.col("id"), "left").select("k1", "k2", F.coalesce("class_id", "rep").alias("rep"))
+    return base.select("doc_id", "k1", "k2").join(written(found, "found"), ["k1", "k2"], "left").select("doc_id", F.coalesce("rep", "doc_id").alias("class_id"))
+
+
+def of_bytes(b: bytes) -> np.ndarray:
+    return np.frombuffer(b, "<u4").astype(np.uint64)
 
 
 def op8_neardup(spark, sf_dir) -> DataFrame:
