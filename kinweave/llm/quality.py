@@ -38,13 +38,16 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     return len(words), sum(map(len, words)), sum(text.count(s) for s in SYMBOLS), dup, sum(marks)
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> tuple[np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, spread: float = 6.0) -> tuple[np.ndarray, float]:
     """Log ratios by bucket and the threshold, from counts over all documents.
 
-    Trusted text is what labels give quality 1. The threshold is the middle
-    between the mean ratio that trusted text and text of quality 0 are expected
-    to have. Without either class every document passes. Only a table of
-    `buckets` rows comes to the driver, whatever the corpus holds.
+    Trusted text is what labels give quality 1. The threshold lies `spread`
+    standard deviations under the mean document score of trusted text, but not
+    under the middle between this mean and that of text of quality 0. Each
+    document is scored without its own counts and with equal weight, so that long
+    ones do not set it; documents that base rules fail are left out. Without
+    either class every document passes. Only a table of `buckets` rows and the
+    means come to the driver, whatever the corpus holds.
     """
     small_batches(docs.sparkSession)
     marks = labels.groupBy("doc_id").agg(F.max("quality").alias("q"))
@@ -70,9 +73,33 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> tuple[np.
         n[i, got["b"].to_numpy(dtype=int)] = got[c]
     p = (n[:2] + 0.5) / (n[:2].sum(axis=1, keepdims=True) + 0.5 * buckets)
     ratio = np.log(p[1] / p[0])
-    if not n[1].sum() or not n[2].sum():
+    model = docs.sparkSession.sparkContext.broadcast(n[:2])
+
+    def left_out(frames):
+        raw, good = model.value
+        sums = np.zeros((2, 3))
+        for f in frames:
+            for text, q in zip(f["text"], f["q"]):
+                if base_failed(*base_counts(text)):
+                    continue
+                at, own = np.unique(buckets_of(WORD.findall(text), buckets), return_counts=True)
+                mine = own if q == 1 else 0 * own
+                up = np.log((good[at] - mine + 0.5) / (good.sum() - mine.sum() + 0.5 * buckets))
+                down = np.log((raw[at] - own + 0.5) / (raw.sum() - own.sum() + 0.5 * buckets))
+                v = float(((up - down) * own).sum() / own.sum())
+                sums[q] += (1, v, v * v)
+        yield pd.DataFrame({"q": [0, 1], "n": sums[:, 0], "s": sums[:, 1], "ss": sums[:, 2]})
+
+    sums = {r["q"]: r for r in rows.where("q in (0, 1)").mapInPandas(left_out, "q int, n double, s double, ss double").groupBy("q").agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss")]).where("n > 0").collect()}
+    if len(sums) < 2:
         return ratio, float("-inf")
-    return ratio, float(((n[1] @ ratio) / n[1].sum() + (n[2] @ ratio) / n[2].sum()) / 2)
+    low, high = (sums[q]["s"] / sums[q]["n"] for q in (0, 1))
+    deviation = max(sums[1]["ss"] / sums[1]["n"] - high * high, 0.0) ** 0.5
+    return ratio, float(min(max((low + high) / 2, high - spread * deviation), high))
+
+
+def base_failed(n: int, chars: int, symbols: int, dup: int, repeated: int, min_words: int = 50) -> bool:
+    return n < min_words or 100 * repeated > 50 * n
 
 
 def score(docs: DataFrame, ratio: np.ndarray, threshold: float, min_words: int = 50) -> DataFrame:
@@ -92,7 +119,7 @@ def score(docs: DataFrame, ratio: np.ndarray, threshold: float, min_words: int =
                 n, chars, sym, dup, rep = base_counts(text)
                 b = buckets_of(WORD.findall(text or ""), len(r))
                 s = float(r[b].mean()) if len(b) else 0.0
-                failed = n < min_words or 100 * rep > 50 * n
+                failed = base_failed(n, chars, sym, dup, rep, min_words)
                 out.append((i, n, chars, sym, dup, rep, failed, not failed and s >= threshold, s))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr"]).astype({"doc_id": "Int64"})
 
