@@ -38,10 +38,11 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     return len(words), sum(map(len, words)), sum(text.count(s) for s in SYMBOLS), dup, sum(marks)
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, spread: float = 6.0) -> tuple[np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, spread: float = 6.0, max_labels: int = 20_000) -> tuple[np.ndarray, float]:
     """Log ratios by bucket and the threshold, from counts over all documents.
 
-    Trusted text is what labels give quality 1. The threshold lies `spread`
+    Trusted text is what labels give quality 1; of more than `max_labels` labelled
+    ids, those of lowest hash are used. The threshold lies `spread`
     standard deviations under the mean document score of trusted text, but not
     under the middle between this mean and that of text of quality 0. Each
     document is scored without its own counts and with equal weight, so that long
@@ -50,8 +51,9 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, spread: floa
     means come to the driver, whatever the corpus holds.
     """
     small_batches(docs.sparkSession)
-    marks = labels.groupBy("doc_id").agg(F.max("quality").alias("q"))
-    rows = docs.select("doc_id", "text").join(marks, "doc_id", "left").select("text", F.coalesce("q", F.lit(-1)).alias("q"))
+    marks = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("q")).where("q in (0, 1)")
+    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
+    rows = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id", "left").select("text", F.coalesce("q", F.lit(-1)).alias("q"))  # at most max_labels ids
 
     def count(frames):
         totals = np.zeros((3, buckets), dtype=np.int64)
