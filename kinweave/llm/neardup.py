@@ -2,7 +2,6 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -15,6 +14,8 @@ K = 5
 SKETCHES = 32
 #: Buckets of up to so many texts are compared whole in one task.
 SMALL = 256
+#: About so many texts of a larger bucket are compared with as many others in one task.
+BLOCK = 1024
 TOKEN = re.compile(r"[^\W_]+")
 SEEDS, MORE = (mix(np.arange(1, 2 * SKETCHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)).reshape(2, -1)
 
@@ -100,15 +101,35 @@ def alike(a: np.ndarray, b: np.ndarray, threshold: float = 0.8, x: np.ndarray |
     return distance_within(a, b, int((1 - threshold) * max(len(a), len(b)) + 1e-9)) is not None
 
 
-def links_within(reps: list[int], words: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
-    """Links that join all like texts of one small bucket; texts that are already joined are not compared."""
-    sets, label, out = [np.unique(shingle_hashes(w)) for w in words], list(range(len(reps))), []
-    for i in range(len(reps)):
-        for j in range(i):
+def shared(x: list[np.ndarray], y: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Counts of values in common, for each of x and each of y, lists of distinct values."""
+    sides = [(len(s), np.repeat(np.arange(len(s)), [len(v) for v in s]), np.concatenate(s)) for s in (x, y)]
+    common = np.intersect1d(sides[0][2], sides[1][2])
+    out = np.zeros((len(x), len(y)), dtype=np.float32)
+    for c in range(0, len(common), columns):
+        part, both = common[c:c + columns], []
+        for n, row, v in sides:
+            m = np.zeros((n, len(part)), dtype=np.float32)
+            at = np.minimum(np.searchsorted(part, v), len(part) - 1)
+            ok = part[at] == v
+            m[row[ok], at[ok]] = 1
+            both.append(m)
+        out += both[0] @ both[1].T
+    return out.astype(np.int64)
+
+
+def links_between(reps: list[int], words: list[np.ndarray], label: list[int], first: int, threshold: float) -> list[tuple[int, int]]:
+    """Links that join all like texts, of the first `first` and the others, or of all if these are all; texts of one label are joined already."""
+    sets = [np.unique(shingle_hashes(w)) for w in words]
+    start = first if first < len(reps) else 0
+    size, label, out = np.array([len(s) for s in sets]), np.unique(label, return_inverse=True)[1], []
+    both = shared(sets[:first], sets[start:])
+    like = both >= threshold * (size[:first, None] + size[start:] - both)
+    for i in range(first):
+        for j in (start + np.flatnonzero(like[i] & (label[start:] != label[i]))).tolist():
             if label[i] != label[j] and alike(words[i], words[j], threshold, sets[i], sets[j]):
                 out.append((reps[i], reps[j]))
-                old, new = label[i], label[j]
-                label = [new if v == old else v for v in label]
+                label[label == label[j]] = label[i]
     return out
 
 
@@ -129,16 +150,23 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
+def labelled(ids: DataFrame, links: DataFrame) -> DataFrame:
+    """(rep, c): the smallest id that links reach, for every id of the column rep."""
+    found = ids.join(components(links), F.col("rep") == F.col("id"), "left")
+    return written(found.select("rep", F.coalesce("class_id", "rep").alias("c")), "classes")
+
+
 def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(doc_id, class_id) for every row; class_id is the smallest doc_id of its near copies.
 
     Equal word sequences are one text from the start. Texts that share a sketch
-    are a bucket. In buckets of up to SMALL texts all are compared in one task;
-    equal buckets are dealt with once. Larger ones are compared with leaders
-    spread over them, and what is like a leader or is one needs no more there;
-    the leaders double from round to round until what is left is small. Null or
-    empty texts are alike to nothing and keep their own id; repeated rows get
-    the same class.
+    are a bucket, and like texts of a bucket end in one class, whatever its size.
+    Parts of up to about SMALL texts are compared whole in one task; equal parts
+    are dealt with once. A larger bucket is dealt into such parts first, each
+    sketch another way; then every text outside its largest class is compared
+    with all of the bucket that other classes hold, by blocks of about BLOCK.
+    Null or empty texts are alike to nothing and keep their own id; repeated
+    rows get the same class, and rows of one id with other texts their own.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -159,43 +187,48 @@ def classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
             yield pd.DataFrame(out, columns=["doc_id", "k1", "k2", "s", "w"]).astype({"doc_id": "Int64", "k1": "Int64", "k2": "Int64"})
 
     base = written(docs.select("doc_id", "text").mapInPandas(sketch, "doc_id long, k1 long, k2 long, s array<long>, w binary"), "sketches")
-    reps = base.where("k1 is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("s").alias("s"))
-    reps = written(reps, "texts")
+    reps = base.where("k1 is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("low"), F.first("s").alias("s"))
+    reps = written(reps.withColumn("rep", F.monotonically_increasing_id()), "texts")
     left = reps.select("rep", F.posexplode("s").alias("j", "s"))
     many = left.groupBy("j", "s").agg(F.count("*").alias("n")).where("n > 1")
     left = written(left.join(written(many, "sizes"), ["j", "s"]), "buckets")
-    words = base.select(F.col("doc_id").alias("rep"), "w").join(left.select("rep").distinct(), "rep", "left_semi").dropDuplicates(["rep"])
-    words = written(words, "words")
-
-    def verify(frames):
-        for f in frames:
-            ok = [alike(of_bytes(a), of_bytes(b), threshold) for a, b in zip(f["wa"], f["wb"])]
-            yield f[["u", "v"]][ok]
+    met = reps.select("k1", "k2", "rep").join(left.select("rep").distinct(), "rep", "left_semi")
+    words = written(base.select("k1", "k2", "w").join(met, ["k1", "k2"]).select("rep", "w").dropDuplicates(["rep"]), "words")
 
     def compare(f):
         f = f.sort_values("rep")
-        return pd.DataFrame(links_within(f["rep"].tolist(), [of_bytes(w) for w in f["w"]], threshold), columns=["u", "v"], dtype="int64")
-
-    small, hot, parts, leaders = left.where(f"n <= {SMALL}").drop("n"), left.where(f"n > {SMALL}").drop("n"), [], 1
-    while not hot.isEmpty():
-        lead = written(hot.groupBy("j", "s", F.expr(f"pmod(xxhash64(rep), {leaders})").alias("slot")).agg(F.min("rep").alias("lead")).drop("slot"), "leaders")
-        led = written(hot.join(lead, ["j", "s"]).where("rep <> lead"), "led")
-        pairs = written(led.select(F.col("rep").alias("u"), F.col("lead").alias("v")).distinct(), "pairs")
-        full = pairs.join(words.select(F.col("rep").alias("u"), F.col("w").alias("wb")), "u").join(words.select(F.col("rep").alias("v"), F.col("w").alias("wa")), "v")
-        good = written(full.mapInPandas(verify, "u long, v long"), "links")
-        parts.append(good)
-        done = led.join(good.select(F.col("u").alias("rep"), F.col("v").alias("lead")), ["rep", "lead"], "left_semi").select("rep", "j", "s").union(lead.select(F.col("lead").alias("rep"), "j", "s"))
-        rest = written(hot.join(written(done, "done"), ["rep", "j", "s"], "left_anti").select("rep", "j", "s"), "rest")
-        counted = written(rest.groupBy("j", "s").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
-        rest = rest.join(counted, ["j", "s"])
-        small = small.unionByName(rest.where(f"n <= {SMALL}").drop("n"))
-        hot, leaders = rest.where(f"n > {SMALL}").drop("n"), 2 * leaders
-    sets = small.groupBy("j", "s").agg(F.sort_array(F.collect_list("rep")).alias("reps")).select("reps").distinct()  # at most SMALL reps each
+        return pd.DataFrame(links_between(f["rep"].tolist(), [of_bytes(w) for w in f["w"]], f["rep"].tolist(), len(f), threshold), columns=["u", "v"], dtype="int64")
+
+    def compare_cell(f):
+        f = f.sort_values(["side", "rep"])
+        first = int((f["side"] == 0).sum())
+        if not first:
+            return pd.DataFrame([], columns=["u", "v"], dtype="int64")
+        got = links_between(f["rep"].tolist(), [of_bytes(w) for w in f["w"]], f["c"].tolist(), first, threshold)
+        c = dict(zip(f["rep"], f["c"]))
+        return pd.DataFrame([(c[u], c[v]) for u, v in got], columns=["u", "v"], dtype="int64")
+
+    part = F.expr(f"case when n > {SMALL} then pmod(xxhash64(rep, j), ceil(n / {SMALL})) else 0 end").alias("part")
+    sets = left.groupBy("j", "s", part).agg(F.sort_array(F.collect_list("rep")).alias("reps")).select("reps").where("size(reps) > 1").distinct()  # about SMALL reps each
     member = sets.select(F.xxhash64("reps").alias("id"), F.explode("reps").alias("rep"))
-    parts.append(member.join(words, "rep").groupBy("id").applyInPandas(compare, "u long, v long"))
-    links = reduce(DataFrame.union, parts)
-    found = reps.select("k1", "k2", "rep").join(components(links), F.col("rep") == F.col("id"), "left").select("k1", "k2", F.coalesce("class_id", "rep").alias("rep"))
-    return base.select("doc_id", "k1", "k2").join(written(found, "found"), ["k1", "k2"], "left").select("doc_id", F.coalesce("rep", "doc_id").alias("class_id"))
+    found = labelled(reps.select("rep"), member.join(words, "rep").groupBy("id").applyInPandas(compare, "u long, v long"))
+    hot = written(left.where(f"n > {SMALL}").drop("n").join(found, "rep"), "hot")
+    held = hot.groupBy("j", "s", "c").agg(F.count("*").alias("n"))
+    home = held.groupBy("j", "s").agg(F.max(F.struct("n", "c")).alias("m"), F.sum("n").alias("n")).where("m.n < n")
+    home = home.select("j", "s", F.col("m.c").alias("home"), F.expr(f"ceil(m.n / {BLOCK})").alias("hs"), F.expr(f"ceil((n - m.n) / {BLOCK})").alias("xs"))
+    cells = hot.join(written(home, "homes"), ["j", "s"])
+    if not cells.isEmpty():
+        # blocks of texts outside the largest class count from 0, those in it from -1 down; a cell (x, y) compares a block x >= 0 with one y <= x
+        own = "pmod(xxhash64(rep, j), xs)"
+        at = f"""case when c = home then transform(sequence(0, xs - 1), x -> struct(x as x, -1 - pmod(xxhash64(rep, j), hs) as y, 1 as side))
+            else transform(sequence(-hs, xs - 1), b -> struct(greatest(b, {own}) as x, least(b, {own}) as y, if(b <= {own}, 0, 1) as side)) end"""
+        cells = cells.select("j", "s", "rep", "c", F.explode(F.expr(at)).alias("at")).select("j", "s", "rep", "c", "at.x", "at.y", "at.side")
+        more = cells.join(words, "rep").groupBy("j", "s", "x", "y").applyInPandas(compare_cell, "u long, v long")
+        again = labelled(found.select(F.col("c").alias("rep")).distinct(), more).toDF("c", "d")
+        found = written(found.join(again, "c").select("rep", F.col("d").alias("c")), "classes")
+    found = reps.select("k1", "k2", "low", "rep").join(found, "rep")
+    found = found.join(found.groupBy("c").agg(F.min("low").alias("class_id")), "c").select("k1", "k2", "class_id")
+    return base.select("doc_id", "k1", "k2").join(written(found, "found"), ["k1", "k2"], "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
 def of_bytes(b: bytes) -> np.ndarray:

@@ -164,3 +164,30 @@ def test_repeats_as_brute_force(spark, docs):
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and [s[0] for s in corpus_pipeline.STAGES] == ["language", "neardup", "substrings", "decontaminate", "packing"]
+
+
+def closed(ids, like):
+    """Class by id: the smallest id that pairs for which `like` holds lead to."""
+    cls = {i: i for i in ids}
+    for a in ids:
+        for b in ids:
+            if a < b and cls[a] != cls[b] and like(a, b):
+                old, new = max(cls[a], cls[b]), min(cls[a], cls[b])
+                cls = {i: new if c == old else c for i, c in cls.items()}
+    return cls
+
+
+def test_near_copies_linked_through_a_text_like_a_leader_in_large_buckets(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 100)
+    base = [f"b{i}" for i in range(200)]
+    texts = [" ".join(base)]
+    for g in range(150):  # each A is like the base, its B like A only: 200 words are 196 shingles, and a word changed takes five
+        a = [f"x{g}" if i in (3, 40 + g % 50, 190) else w for i, w in enumerate(base)]
+        b = [f"y{g}" if i in (20, 110 + g % 50, 175) else w for i, w in enumerate(a)]
+        texts += [" ".join(a), " ".join(b)]
+    sets = dict(enumerate(map(shingles, texts)))
+    like = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    assert like(0, 1) and like(1, 2) and not like(0, 2)
+    monkeypatch.setattr(neardup, "order_minhash", lambda h: [1])  # one bucket holds all: no other can help
+    got = {r.doc_id: r.class_id for r in neardup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == closed(list(sets), like)
