@@ -8,10 +8,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, hash_words, ngram_hashes, small_batches, table
+from .common import WORD, hash_words, mix, ngram_hashes, small_batches, table, written
 
 BUCKETS = 1 << 16
 SYMBOLS = frozenset("#*$%&|<>")
+#: Bits of the map that leaves out documents without a label; about a quarter are set at five million labels.
+SIEVE = 1 << 25
+COUNTED = ["doc_id", "counts", "failed", "b", "raw"]
 
 
 def buckets_of(words: list[str], buckets: int = BUCKETS) -> np.ndarray:
@@ -38,53 +41,104 @@ def base_counts(text: str | None) -> tuple[int, int, int, int, int]:
     return len(words), sum(map(len, words)), sum(text.count(s) for s in SYMBOLS), dup, sum(marks)
 
 
-def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, spread: float = 6.0, max_labels: int = 20_000) -> tuple[np.ndarray, float]:
+def packed_counts(at: np.ndarray, own: np.ndarray) -> bytes:
+    """Buckets in rising order and their counts, in few bytes."""
+    gaps = np.diff(at, prepend=0)
+    kinds = [next(k for k in ("<u1", "<u2", "<u4") if v.max() <= np.iinfo(k).max) for v in (gaps, own)]
+    return bytes([int(k[2]) for k in kinds]) + gaps.astype(kinds[0]).tobytes() + own.astype(kinds[1]).tobytes()
+
+
+def unpacked(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = (len(b) - 2) // (b[0] + b[1])
+    gaps = np.frombuffer(b, f"<u{b[0]}", n, 2)
+    return np.cumsum(gaps, dtype=np.int64), np.frombuffer(b, f"<u{b[1]}", n, 2 + n * b[0]).astype(np.int64)
+
+
+def places(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of the sieve for each id: their words and masks."""
+    h = mix(ids.astype(np.uint64))
+    at = np.stack([h, h >> np.uint64(32)]) % np.uint64(SIEVE)
+    return (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
+
+
+def sieve_of(marks: DataFrame) -> np.ndarray:
+    """A bit map with both bits of every labelled id; other ids may have them too."""
+    def fill(frames):
+        bits = np.zeros(SIEVE // 64, dtype=np.uint64)
+        for f in frames:
+            np.bitwise_or.at(bits, *places(f["doc_id"].to_numpy(dtype=np.int64)))
+        at = np.flatnonzero(bits)
+        yield pd.DataFrame({"b": at, "v": bits[at].view(np.int64)})
+
+    bits = np.zeros(SIEVE // 64, dtype=np.uint64)
+    got = marks.select("doc_id").mapInPandas(fill, "b long, v long").groupBy("b").agg(F.bit_or("v").alias("v")).toPandas()
+    bits[got["b"].to_numpy(dtype=int)] = got["v"].to_numpy(dtype=np.int64).view(np.uint64)
+    return bits
+
+
+def in_sieve(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    at, mask = places(ids)
+    return (bits[at] & mask != 0).all(axis=0)
+
+
+def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, spread: float = 6.0) -> tuple[np.ndarray, float]:
     """Log ratios by bucket and the threshold, from counts over all documents.
 
-    Trusted text is what labels give quality 1; of more than `max_labels` labelled
-    ids, those of lowest hash are used. The threshold lies `spread`
+    Trusted text is all that labels give quality 1. The threshold lies `spread`
     standard deviations under the mean document score of trusted text, but not
     under the middle between this mean and that of text of quality 0. Each
     document is scored without its own counts and with equal weight, so that long
     ones do not set it; documents that base rules fail are left out. Without
-    either class every document passes. Only a table of `buckets` rows and the
-    means come to the driver, whatever the corpus holds.
+    either class every document passes. Labels meet packed counts of documents,
+    not texts; a bit map of `SIEVE` bits over labelled ids, of one size for any
+    number of labels, only leaves out documents that have no label. Only it, a
+    table of `buckets` rows and the means come to the driver, whatever the
+    corpus holds.
     """
     small_batches(docs.sparkSession)
     marks = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("q")).where("q in (0, 1)")
-    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labels)
-    rows = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id", "left").select("text", F.coalesce("q", F.lit(-1)).alias("q"))  # at most max_labels ids
+    sieve = docs.sparkSession.sparkContext.broadcast(sieve_of(marks))
 
     def count(frames):
-        totals = np.zeros((3, buckets), dtype=np.int64)
+        totals = np.zeros(buckets, dtype=np.int64)
+        for f in frames:
+            ids, out = f["doc_id"].to_numpy(dtype=np.int64), []
+            for i, text, m in zip(ids, f["text"], in_sieve(sieve.value, ids) & f["has"].to_numpy(dtype=bool)):
+                at, own = np.unique(buckets_of(WORD.findall(text or ""), buckets), return_counts=True)
+                totals[at] += own
+                if m and len(at):
+                    out.append((i, packed_counts(at, own), base_failed(*base_counts(text)), None, None))
+            yield pd.DataFrame(out, columns=COUNTED)
+        at = np.flatnonzero(totals)
+        yield pd.DataFrame([(None, None, None, b, v) for b, v in zip(at.tolist(), totals[at].tolist())], columns=COUNTED)
+
+    kinds = "doc_id long, counts binary, failed boolean, b long, raw long"
+    counted = written(docs.select(F.expr("coalesce(doc_id, 0) as doc_id"), F.expr("doc_id is not null as has"), "text").mapInPandas(count, kinds), "counted")
+    labelled = written(counted.where("doc_id is not null").join(marks, "doc_id").select("counts", "failed", "q"), "labelled")
+
+    def trusted(frames):
+        total = np.zeros(buckets, dtype=np.int64)
         for f in frames:
-            for text, q in zip(f["text"], f["q"]):
-                b = np.bincount(buckets_of(WORD.findall(text or ""), buckets), minlength=buckets)
-                totals[0] += b
-                if q == 1:
-                    totals[1] += b
-                elif q == 0:
-                    totals[2] += b
-        at = np.flatnonzero(totals[0])
-        yield pd.DataFrame({"b": at, "raw": totals[0, at], "good": totals[1, at], "bad": totals[2, at]})
-
-    got = rows.mapInPandas(count, "b long, raw long, good long, bad long").groupBy("b").agg(
-        *[F.sum(c).alias(c) for c in ("raw", "good", "bad")]).toPandas()
-    n = np.zeros((3, buckets))
-    for i, c in enumerate(("raw", "good", "bad")):
-        n[i, got["b"].to_numpy(dtype=int)] = got[c]
-    p = (n[:2] + 0.5) / (n[:2].sum(axis=1, keepdims=True) + 0.5 * buckets)
+            for c in f["counts"]:
+                at, own = unpacked(c)
+                total[at] += own
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"b": at, "v": total[at]})
+
+    n = np.zeros((2, buckets))
+    for i, rows in enumerate((counted.where("b is not null").select("b", F.col("raw").alias("v")), labelled.where("q = 1").select("counts").mapInPandas(trusted, "b long, v long"))):
+        got = rows.groupBy("b").agg(F.sum("v").alias("v")).toPandas()
+        n[i, got["b"].to_numpy(dtype=int)] = got["v"]
+    p = (n + 0.5) / (n.sum(axis=1, keepdims=True) + 0.5 * buckets)
     ratio = np.log(p[1] / p[0])
-    model = docs.sparkSession.sparkContext.broadcast(n[:2])
+    model = docs.sparkSession.sparkContext.broadcast(n)
 
     def left_out(frames):
         raw, good = model.value
         sums = np.zeros((2, 3))
         for f in frames:
-            for text, q in zip(f["text"], f["q"]):
-                if base_failed(*base_counts(text)):
-                    continue
-                at, own = np.unique(buckets_of(WORD.findall(text), buckets), return_counts=True)
+            for c, q in zip(f["counts"], f["q"]):
+                at, own = unpacked(c)
                 mine = own if q == 1 else 0 * own
                 up = np.log((good[at] - mine + 0.5) / (good.sum() - mine.sum() + 0.5 * buckets))
                 down = np.log((raw[at] - own + 0.5) / (raw.sum() - own.sum() + 0.5 * buckets))
@@ -92,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, spread: floa
                 sums[q] += (1, v, v * v)
         yield pd.DataFrame({"q": [0, 1], "n": sums[:, 0], "s": sums[:, 1], "ss": sums[:, 2]})
 
-    sums = {r["q"]: r for r in rows.where("q in (0, 1)").mapInPandas(left_out, "q int, n double, s double, ss double").groupBy("q").agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss")]).where("n > 0").collect()}
+    sums = {r["q"]: r for r in labelled.where("not failed").select("counts", "q").mapInPandas(left_out, "q int, n double, s double, ss double").groupBy("q").agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss")]).where("n > 0").collect()}
     if len(sums) < 2:
         return ratio, float("-inf")
     low, high = (sums[q]["s"] / sums[q]["n"] for q in (0, 1))

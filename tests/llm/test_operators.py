@@ -191,3 +191,22 @@ def test_near_copies_linked_through_a_text_like_a_leader_in_large_buckets(spark,
     monkeypatch.setattr(neardup, "order_minhash", lambda h: [1])  # one bucket holds all: no other can help
     got = {r.doc_id: r.class_id for r in neardup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert got == closed(list(sets), like)
+
+
+def test_quality_counts_every_labelled_document(spark):
+    import numpy as np
+    n = 20_600  # more than were once counted
+    texts = [f"w{i % 997} v{i} " + "a b " * (i % 3) for i in range(n)]
+    docs = spark.createDataFrame([*enumerate(texts), (None, "no id")], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 50 and 1) for i in range(n - 100)], "doc_id long, quality int")
+    count = lambda some: np.bincount(np.concatenate([quality.buckets_of(t.split()) for t in some]), minlength=quality.BUCKETS)
+    raw, good = count([*texts, "no id"]), count(t for i, t in enumerate(texts[:n - 100]) if i % 50)
+    want = np.log((good + 0.5) / (good.sum() + 0.5 * quality.BUCKETS)) - np.log((raw + 0.5) / (raw.sum() + 0.5 * quality.BUCKETS))
+    assert np.allclose(quality.fit(docs, labels)[0], want)
+
+
+def test_packed_counts_come_back():
+    import numpy as np
+    for at, own in (([0], [1]), ([3, 70_000], [1, 300]), (list(range(5, 900, 4)), [70_000] * 224)):
+        got = quality.unpacked(quality.packed_counts(np.array(at), np.array(own)))
+        assert [x.tolist() for x in got] == [at, own]
