@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_right, insort
+from bisect import bisect_left, bisect_right, insort
 
 import numpy as np
 import pandas as pd
@@ -17,22 +17,25 @@ STEP = 8
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, step_group long"
 
 
-def pack(lengths: list[int], window: int = TIERS[0], tiers=TIERS) -> list[list[tuple[int, int, int]]]:
-    """Sequences of (item, start in item, length) from remainders shorter than a window.
+def pack(lengths: list[int], window: int = TIERS[0], tiers=TIERS) -> list[tuple[int, list[tuple[int, int, int]]]]:
+    """(tier, pieces) of sequences from remainders shorter than a window; a piece is item, start in item and length.
 
-    An item's tier is the shortest context size that holds it. Items of the
-    longest tier open windows; gaps take the longest item of shorter tiers that
-    fits, and what is then left takes a cut from the shortest. All windows but
-    the last are full.
+    An item's tier is the shortest context size that holds it. From the longest
+    tier down, its items open windows of that size, longest first. Gaps take the
+    longest item that fits, of any tier at or under it; a gap that nothing
+    fits, or only badly, takes a cut from the shortest item, whose rest is
+    then an item of its own tier. All windows are full but the last of all.
     """
+    sizes = sorted({window, *(t for t in tiers if t < window)})
     stock = sorted((n, i, 0) for i, n in enumerate(lengths) if n)
-    done: list[list[tuple[int, int, int]]] = []
+    done: list[tuple[int, list[tuple[int, int, int]]]] = []
     while stock:
         n, i, s = stock.pop()
-        row, room = [(i, s, n)], window - n
+        tier = sizes[bisect_left(sizes, n)]
+        row, room = [(i, s, n)], tier - n
         while room and stock:
             at = bisect_right(stock, (room, 1 << 62, 0)) - 1
-            if at < 0 or (room < tiers[-1] and stock[at][0] < room):
+            if at < 0 or (room < sizes[0] and stock[at][0] < room):
                 n, i, s = stock.pop(0)  # nothing fits well: cut the shortest
                 take = min(n, room)
                 if n > take:
@@ -42,18 +45,31 @@ def pack(lengths: list[int], window: int = TIERS[0], tiers=TIERS) -> list[list[t
                 n, i, s = stock.pop(at)
             row.append((i, s, n))
             room -= n
-        done.append(row)
+        done.append((tier, row))
     return done
 
 
+def steps(tiers: list[int], used: list[int], tokens: int) -> list[int]:
+    """A step group for each sequence: one tier each, up to `tokens` tokens of windows, and near-equal tokens in all of a tier."""
+    out, at = [0] * len(tiers), 0
+    for t in sorted(set(tiers), reverse=True):
+        mine = sorted((k for k, x in enumerate(tiers) if x == t), key=lambda k: -used[k])
+        groups = -(-len(mine) * t // max(tokens, t))
+        for k, x in enumerate(mine):
+            out[x] = at + k % groups
+        at += groups
+    return out
+
+
 def pack_documents(docs: DataFrame, vocab_path: str, window: int = TIERS[0], group_bytes: int = 8 << 20) -> DataFrame:
     """Pieces of all documents, each id in exactly one.
 
     Full windows of a document become sequences where it is read; only
     remainders are dealt, by a hash of doc_id, into groups of about
     `group_bytes` of text, each packed by one task. Null or empty text is
-    the closing id 0 alone. Repeated rows are packed each on its own. Step
-    groups hold about STEP sequences of one tier.
+    the closing id 0 alone. Repeated rows are packed each on its own. A step
+    group holds sequences of one tier of a packing group, as many tokens as STEP
+    windows at most, and near-equal tokens as the others of its tier.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -82,20 +98,17 @@ def pack_documents(docs: DataFrame, vocab_path: str, window: int = TIERS[0], gro
         base = int(f["g"].iloc[0]) << 32
         whole, rest = f[f["ids"].isna()], f[f["ids"].notna()]
         out = [(r.doc_id, r.start, window, r.crc, r.n, base + k, 0) for k, r in enumerate(whole.itertuples())]
-        used = [window] * len(whole)
+        used, tiers = [window] * len(whole), [window] * len(whole)
         doc, start, n, ids = (rest[c].tolist() for c in ("doc_id", "start", "n", "ids"))
-        for row in pack(rest["length"].tolist(), window):
+        for tier, row in pack(rest["length"].tolist(), window):
             at = 0
             for i, s, size in row:
                 cut = ids[i][4 * s:4 * (s + size)]
                 out.append((doc[i], start[i] + s, size, zlib.crc32(cut), n[i], base + len(used), at))
                 at += size
             used.append(at)
-        tiers = [min(t for t in TIERS if t >= u) if u <= TIERS[0] else window for u in used]
-        dealt, step = {}, []
-        for t in tiers:
-            k = dealt[t] = dealt.get(t, -1) + 1
-            step.append(base + (TIERS.index(t) << 24 if t in TIERS else 0) + k // STEP)
+            tiers.append(tier)
+        step = [base + k for k in steps(tiers, used, STEP * window)]
         got = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
         k = got["sequence_id"] - base
         return got.assign(tier=[tiers[x] for x in k], step_group=[step[x] for x in k]).astype({"doc_id": "Int64"})

@@ -210,3 +210,34 @@ def test_packed_counts_come_back():
     for at, own in (([0], [1]), ([3, 70_000], [1, 300]), (list(range(5, 900, 4)), [70_000] * 224)):
         got = quality.unpacked(quality.packed_counts(np.array(at), np.array(own)))
         assert [x.tolist() for x in got] == [at, own]
+
+
+def test_packing_routes_fills_and_balances():
+    short = packing.pack([100, 90, 128, 60, 250, 33] * 40)
+    assert {t for t, _ in short} == {256, 128}  # no item is longer than 256
+    mixed = packing.pack([900, 700, 400, 300, 200, 100, 50, 20] * 30)
+    assert {t for t, _ in mixed} >= {1024, 512}
+    for got, lengths in ((short, [100, 90, 128, 60, 250, 33] * 40), (mixed, [900, 700, 400, 300, 200, 100, 50, 20] * 30)):
+        assert all(sum(n for *_, n in row) == t for t, row in got[:-1])
+        pieces = sorted(p for _, row in got for p in row)
+        for i, n in enumerate(lengths):
+            mine = [(s, m) for j, s, m in pieces if j == i]
+            assert [s for s, _ in mine] == [sum(m for _, m in mine[:k]) for k in range(len(mine))] and sum(m for _, m in mine) == n
+        for t, row in got:  # an item of the tier opens each window
+            assert t == min(x for x in packing.TIERS if x >= row[0][2])
+    tiers = [1024] * 9 + [256] * 33 + [128]
+    used = [1024] * 9 + [256] * 33 + [7]
+    of = packing.steps(tiers, used, 8 * 1024)
+    tokens = defaultdict(lambda: defaultdict(int))
+    for t, u, g in zip(tiers, used, of):
+        tokens[t][g] += u
+    assert sum(map(len, tokens.values())) == len(set(of))  # one tier each
+    assert sorted(tokens[1024].values()) == [4096, 5120] and sorted(tokens[256].values()) == [16 * 256, 17 * 256]
+
+
+def test_packing_of_short_documents_uses_short_windows(spark):
+    docs = spark.createDataFrame([(i, "one two three " * (i % 9 + 1)) for i in range(400)], "doc_id long, text string")
+    got = packing.pack_documents(docs, str(packing.public_tokenizers.path("byte_bpe_50k.json"))).toPandas()
+    used = got.groupby("sequence_id").agg(n=("length", "sum"), tier=("tier", "first"), g=("step_group", "first"))
+    assert set(used.tier) == {128} and (used.n < 128).sum() <= 8
+    assert got.groupby("step_group").tier.nunique().max() == 1
