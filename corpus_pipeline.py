@@ -15,7 +15,10 @@ def by_language(spark, docs, sf_dir):
 
 
 def one_of_each(spark, docs, sf_dir):
-    """The document of smallest id of each class of near copies."""
+    """The document of smallest id of each class of near copies, once where (doc_id, text) repeats."""
+    twice = written(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated")
+    if not twice.isEmpty():
+        docs = docs.join(twice, "doc_id", "left_anti").select(docs.columns).union(docs.join(twice, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id", "text"]))
     return docs.join(neardup.classes(docs).where("doc_id <> class_id").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
 
 

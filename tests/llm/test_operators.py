@@ -241,3 +241,10 @@ def test_packing_of_short_documents_uses_short_windows(spark):
     used = got.groupby("sequence_id").agg(n=("length", "sum"), tier=("tier", "first"), g=("step_group", "first"))
     assert set(used.tier) == {128} and (used.n < 128).sum() <= 8
     assert got.groupby("step_group").tier.nunique().max() == 1
+
+
+def test_pipeline_keeps_one_of_repeated_rows_and_all_of_two_texts_of_one_id(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(50)) for c in "pq")
+    rows = [(5, one), (5, one), (5, two), (7, two), (8, "other words here")]
+    got = corpus_pipeline.one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string"), None).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted([(5, one), (5, two), (8, "other words here")])
