@@ -248,3 +248,11 @@ def test_pipeline_keeps_one_of_repeated_rows_and_all_of_two_texts_of_one_id(spar
     rows = [(5, one), (5, one), (5, two), (7, two), (8, "other words here")]
     got = corpus_pipeline.one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string"), None).collect()
     assert sorted((r.doc_id, r.text) for r in got) == sorted([(5, one), (5, two), (8, "other words here")])
+
+
+def test_near_copies_do_not_join_moved_halves(spark):
+    w = [f"w{i}" for i in range(300)]
+    rows = [(1, " ".join(w)), (2, " ".join(w[150:] + w[:150])), (3, " ".join([*w[:299], "x"]))]
+    assert len(shingles(rows[0][1]) & shingles(rows[1][1])) >= 0.8 * len(shingles(rows[0][1]) | shingles(rows[1][1]))
+    got = {r.doc_id: r.class_id for r in neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
