@@ -9,7 +9,7 @@ from functools import lru_cache
 import pandas as pd
 import public_tokenizers
 import sentencepiece
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_batches, table
@@ -37,21 +37,32 @@ def edges(word: str, vocab) -> list[list[tuple[int, str | None]]]:
 
 
 def expected(word: str, prob) -> dict[str, float]:
-    """Expected piece counts over all segmentations (forward and backward sums)."""
-    ends = edges(word, prob)
-    a = [1.0] + [0.0] * len(word)
+    """Expected piece counts over all segmentations (forward and backward sums).
+
+    Sums that grow small are scaled up with all others in reach; up and down count that.
+    """
+    ends, n = edges(word, prob), len(word)
+    a, up = [1.0] + [0.0] * n, [0] * (n + 1)
     for j, ps in enumerate(ends, 1):
+        up[j] = up[j - 1]
         a[j] = sum(a[i] * prob.get(p, UNKNOWN) for i, p in ps)
-        if a[j] < 1e-250:  # far below any sensible word: pathological run, not used to learn
-            return {}
-    b = [0.0] * len(word) + [1.0]
+        if a[j] < 1e-100:
+            for k in range(max(0, j - LONGEST + 1), j + 1):
+                a[k] *= 1e100
+                up[k] += 1
+    b, down = [0.0] * n + [1.0], 0
     out: dict[str, float] = {}
-    for j in range(len(word), 0, -1):
+    for j in range(n, 0, -1):
+        if b[j] and b[j] < 1e-100:
+            for k in range(max(0, j - LONGEST + 1), j + 1):
+                b[k] *= 1e100
+            down += 1
         for i, p in ends[j - 1]:
             v = prob.get(p, UNKNOWN)
             b[i] += b[j] * v
             if p is not None:
-                out[p] = out.get(p, 0.0) + a[i] * v * b[j] / a[-1]
+                d = up[n] - up[i] - down
+                out[p] = out.get(p, 0.0) + a[i] * v * b[j] / a[n] * (10.0 ** (100 * d) if d else 1.0)
     return out
 
 
@@ -80,16 +91,18 @@ def forward(word: str, model: dict[str, tuple], k: int) -> list[float]:
 def fit(docs: DataFrame, vocab_path: str, max_rows: int = 2000, rounds: int = 2) -> tuple[list[str], dict[str, tuple]]:
     """Per-language piece probabilities by expectation maximisation.
 
-    Learns from at most `max_rows` labelled documents, those of lowest
-    hash among documents that are not held out. Languages x vocabulary bounds
-    what comes to the driver.
+    Learns from at most `max_rows` labelled documents of each language, those
+    of lowest hash among documents that are not held out. Languages x vocabulary
+    bounds what comes to the driver.
     """
     small_batches(docs.sparkSession)
     vocab = vocabulary(vocab_path)
     pool = docs.where("lang is not null and text is not null and pmod(crc32(cast(doc_id as string)), 5) <> 0")
-    picked = pool.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    rows = pool.select("doc_id", "lang", "text").join(F.broadcast(picked), "doc_id", "left_semi")  # at most max_rows ids
-    words = rows.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("w")).where("length(w) <= 64").groupBy("lang", "w").count().cache()
+    ids = pool.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
+    few = ids.join(F.broadcast(ids.groupBy("lang").count()), "lang").where(f"(h / pow(2D, 64) + 0.5) * count <= {4 * max_rows}")  # holds the lowest; one row a language
+    first = few.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(f"k <= {max_rows}")
+    rows = pool.select("doc_id", "lang", "text").join(F.broadcast(first.select("lang", "doc_id")), ["lang", "doc_id"], "left_semi")  # at most max_rows ids a language
+    words = rows.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("w")).groupBy("lang", "w").count().cache()
     start = {p: 1.0 / len(vocab) for p in vocab}
     models: dict[str, dict[str, float]] = {}
     for _ in range(rounds):

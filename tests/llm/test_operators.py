@@ -243,6 +243,22 @@ def test_packing_of_short_documents_uses_short_windows(spark):
     assert got.groupby("step_group").tier.nunique().max() == 1
 
 
+def test_expected_counts_on_long_runs():
+    prob = {"▁": 0.1, "a": 0.2, "b": 0.3, "ab": 0.1}
+    for word, want in (("▁" + "ab" * 400, None), ("▁a" + "x" * 100 + "b", {"▁": 1, "a": 1, "b": 1})):
+        got = language.expected(word, prob)
+        if want is None:  # each pair is one piece or two, with odds of 0.1 to 0.06
+            want = {"▁": 1, "ab": 400 * 0.1 / 0.16, "a": 400 * 0.06 / 0.16, "b": 400 * 0.06 / 0.16}
+        assert got == pytest.approx(want)
+
+
+def test_rare_languages_are_learned(spark):
+    rows = [(i, "en", "the house and the garden") for i in range(400)] + [(1000 + i, "zz", "das haus und der garten") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    vocab = language.public_tokenizers.path("piece_bpe_32k.model")
+    assert language.fit(df, vocab, max_rows=3)[0] == ["en", "zz"]
+
+
 def test_pipeline_keeps_one_of_repeated_rows_and_all_of_two_texts_of_one_id(spark):
     one, two = (" ".join(f"{c}{i}" for i in range(50)) for c in "pq")
     rows = [(5, one), (5, one), (5, two), (7, two), (8, "other words here")]
