@@ -3,9 +3,11 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +20,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+KINDS = {"long": pa.int64(), "int": pa.int32(), "short": pa.int16(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64())}
+
+
+def arrow_schema(schema: str) -> pa.Schema:
+    return pa.schema([(n, KINDS[t]) for n, t in (c.split() for c in schema.split(", "))])
+
+
+def as_batch(columns, schema: pa.Schema) -> pa.RecordBatch:
+    """A batch of columns in the order of schema; Arrow columns are taken as they are, so that no id becomes a float."""
+    arrays = []
+    for c, f in zip(columns, schema):
+        c = c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
+        arrays.append((c if c.type == f.type else c.cast(f.type)) if isinstance(c, pa.Array) else pa.array(c, type=f.type))
+    return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+
+def slices(batches, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows, so that lists of long texts do not fill a worker's memory."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+def per_batch(df: DataFrame, f: Callable, schema: str, rows: int = 256) -> DataFrame:
+    """The columns that f gives for each slice of rows; f takes a record batch."""
+    def run(batches):
+        kinds = arrow_schema(schema)
+        for b in slices(batches, rows):
+            yield as_batch(f(b), kinds)
+
+    return df.mapInArrow(run, schema)
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Python workers get this many rows at a time, so that long texts do not fill their memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
@@ -51,22 +85,34 @@ def ngram_hashes(h: np.ndarray, n: int) -> np.ndarray:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder that spark.checkpoint.dir names."""
+    """A fresh path in the shared folder that spark.checkpoint.dir names; without one, only a local master may use its own disk."""
     base = spark.sparkContext._jsc.sc().getCheckpointDir()
     path = base.get() if base.isDefined() else spark.conf.get("spark.checkpoint.dir", None)
-    if not path:  # only in tests on one machine: clusters name the folder
-        path = "/tmp/kinweave-checkpoints"
+    if not path:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        path = "/tmp/kinweave-checkpoints"  # one machine, as in tests
     return f"{path.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write to the shared folder and read again."""
+def written(df: DataFrame, name: str, held: list | None = None) -> DataFrame:
+    """Cut lineage: write to the shared folder and read again; `held` gets the path, for `drop`."""
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
+    if held is not None:
+        held.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(spark: SparkSession, paths: list) -> None:
+    """Delete tables that nothing reads any more."""
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    paths.clear()
+
+
 def clean_words(col):
     """Lower-cased runs of letters and digits, as an array column."""
     return F.regexp_extract_all(F.lower(F.coalesce(col, F.lit(""))), F.lit(r"[\p{L}\p{M}\p{N}]+"), F.lit(0))

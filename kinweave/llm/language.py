@@ -1,60 +1,75 @@
 """Language ID by unigram piece models that sum over all segmentations."""
 from __future__ import annotations
 
-import math
 import re
-import zlib
+import uuid
+from collections import Counter
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import per_batch, table
 
-LETTERS = re.compile(r"[^\W\d_]+")
-LONGEST = 12
 UNKNOWN = 1e-7
-CACHE = 200_000
+#: Distinct words that a worker remembers with their likelihoods.
+CACHE = 400_000
+BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+#: Letters and, as few texts have, signs such as ² and Ⅷ, which `words_of` cuts out.
+NEARLY = re.compile(r"[^\W\d_]+")
+
+
+def words_of(text: str | None) -> list[str]:
+    """Runs of Unicode letters (category L), lower-cased, in learning as in prediction."""
+    words = NEARLY.findall(text.lower()) if text else []
+    if all(map(str.isalpha, words)):
+        return words
+    return "".join(c if c.isalpha() else " " for w in words for c in (*w, " ")).split()
 
 
 @lru_cache
 def vocabulary(path: str) -> frozenset[str]:
+    """All pieces of a public vocabulary that are letters, with or without the mark of a word's start."""
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     pieces = (sp.id_to_piece(i).lower() for i in range(sp.get_piece_size()))
-    return frozenset(p for p in pieces if len(p) <= LONGEST and LETTERS.fullmatch(p.lstrip("▁") or "_"))
+    return frozenset(p for p in pieces if p == "▁" or p.removeprefix("▁").isalpha())
 
 
-def held_out(doc_id) -> bool:
-    return zlib.crc32(str(doc_id).encode()) % 5 == 0
+def held_out(doc_id) -> F.Column:
+    """Whether crc32 of the id as text is divisible by 5; a null id is never learned from, so it counts as held out."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(True))
 
 
-def edges(word: str, vocab) -> list[list[tuple[int, str | None]]]:
+def edges(word: str, vocab, longest: int) -> list[list[tuple[int, str | None]]]:
     """For each end, the pieces that end there; None is an unknown character."""
-    return [[(i, word[i:j]) for i in range(max(0, j - LONGEST), j) if word[i:j] in vocab] or [(j - 1, None)] for j in range(1, len(word) + 1)]
+    return [[(i, word[i:j]) for i in range(max(0, j - longest), j) if word[i:j] in vocab] or [(j - 1, None)] for j in range(1, len(word) + 1)]
 
 
-def expected(word: str, prob) -> dict[str, float]:
+def expected(word: str, prob, longest: int) -> dict[str, float]:
     """Expected piece counts over all segmentations (forward and backward sums).
 
     Sums that grow small are scaled up with all others in reach; up and down count that.
     """
-    ends, n = edges(word, prob), len(word)
+    ends, n = edges(word, prob, longest), len(word)
     a, up = [1.0] + [0.0] * n, [0] * (n + 1)
     for j, ps in enumerate(ends, 1):
         up[j] = up[j - 1]
         a[j] = sum(a[i] * prob.get(p, UNKNOWN) for i, p in ps)
         if a[j] < 1e-100:
-            for k in range(max(0, j - LONGEST + 1), j + 1):
+            for k in range(max(0, j - longest + 1), j + 1):
                 a[k] *= 1e100
                 up[k] += 1
     b, down = [0.0] * n + [1.0], 0
     out: dict[str, float] = {}
     for j in range(n, 0, -1):
         if b[j] and b[j] < 1e-100:
-            for k in range(max(0, j - LONGEST + 1), j + 1):
+            for k in range(max(0, j - longest + 1), j + 1):
                 b[k] *= 1e100
             down += 1
         for i, p in ends[j - 1]:
@@ -66,43 +81,124 @@ def expected(word: str, prob) -> dict[str, float]:
     return out
 
 
-def forward(word: str, model: dict[str, tuple], k: int) -> list[float]:
-    """Log-likelihood of a word under each of k languages, all segmentations summed."""
-    rows = [[1.0] * k]
-    log = [0.0] * k
-    floor = (UNKNOWN,) * k
-    for ps in edges(word, model):
-        new = [0.0] * k
-        base = len(rows)
-        for i, p in ps:
-            v, w = rows[i], model.get(p, floor)
-            for x in range(k):
-                new[x] += v[x] * w[x]
-        rows.append(new)
-        if base % 16 == 0:  # rescale the part of the table still in reach
-            for x in range(k):
-                top = max(r[x] for r in rows[-LONGEST:]) or 1e-300
-                for r in rows[-LONGEST:]:
-                    r[x] /= top
-                log[x] += math.log(top)
-    return [g + math.log(max(v, 1e-300)) for g, v in zip(log, rows[-1])]
+class Scorer:
+    """Log-likelihoods of words under k languages, all segmentations summed, for many words at once."""
+
+    def __init__(self, model: dict[str, tuple], k: int):
+        self.k, pieces = k, sorted(model)
+        self.longest = max(map(len, pieces), default=1)
+        code = np.array([self.hash_of(p) for p in pieces], dtype=np.uint64)
+        order = np.argsort(code)
+        self.codes = code[order]
+        self.prob = np.array([model[pieces[i]] for i in order], dtype=float).reshape(len(pieces), k)
+        self.maybe = np.zeros(1 << 22, dtype=bool)
+        self.maybe[self.codes >> np.uint64(42)] = True
+        self.known: dict[str, int] = {}
+        self.rows = np.zeros((0, k))
+
+    @staticmethod
+    def hash_of(piece: str) -> int:
+        h = 0
+        for c in piece:
+            h = (h * int(BASE) + (ord(c) * 0xD6E8FEB86659FD93 ^ ord(c) << 32)) & 0xFFFFFFFFFFFFFFFF
+        return h
+
+    def forward(self, words: list[str]) -> np.ndarray:
+        """A row of k log-likelihoods for each word; words are as long as the longest of them, padded."""
+        v, n = len(words), max(map(len, words))
+        size = np.array([len(w) for w in words])
+        c = np.array(words, dtype=f"<U{n}").view(np.uint32).reshape(v, n).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            c = c * np.uint64(0xD6E8FEB86659FD93) ^ c << np.uint64(32)
+            power = np.concatenate([[np.uint64(1)], np.cumprod(np.full(self.longest, BASE))])
+            head = np.zeros((n + 1, v), dtype=np.uint64)  # hashes of the first j characters
+            for j in range(n):
+                head[j + 1] = head[j] * BASE + c[:, j]
+            a = np.zeros((n + 1, v, self.k))
+            a[0] = 1.0
+            log, out = np.zeros((v, self.k)), np.zeros((v, self.k))
+            for j in range(1, n + 1):
+                found = np.zeros(v, dtype=bool)
+                for i in range(max(0, j - self.longest), j):
+                    h = head[j] - head[i] * power[j - i]
+                    at = np.flatnonzero(self.maybe[h >> np.uint64(42)])
+                    if len(at):
+                        p = np.minimum(np.searchsorted(self.codes, h[at]), len(self.codes) - 1)
+                        hit = self.codes[p] == h[at]
+                        at, p = at[hit], p[hit]
+                        a[j, at] += a[i, at] * self.prob[p]
+                        found[at] = True
+                lost = np.flatnonzero(~found)
+                a[j, lost] = a[j - 1, lost] * UNKNOWN
+                if j % 16 == 0:  # rescale the part of the table still in reach
+                    reach = slice(max(0, j - self.longest + 1), j + 1)
+                    top = np.maximum(a[reach].max(axis=0), 1e-300)
+                    a[reach] /= top
+                    log += np.log(top)
+                done = size == j
+                if done.any():
+                    out[done] = log[done] + np.log(np.maximum(a[j, done], 1e-300))
+        return out
+
+    def learn(self, words: list[str]) -> None:
+        """Remember the rows of new words."""
+        by_size = sorted(words, key=len)
+        rows, at = [], 0
+        while at < len(by_size):  # words of like length together, at most about a million characters
+            n = len(by_size[at]) + 1
+            end = at + 1
+            while end < len(by_size) and len(by_size[end]) < n + 4 and (end - at) * (n + 4) < 1 << 18:
+                end += 1
+            rows.append(self.forward(["▁" + w for w in by_size[at:end]]))
+            at = end
+        first = len(self.rows)
+        self.rows = np.concatenate([self.rows, *rows])
+        self.known.update(zip(by_size, range(first, first + len(by_size))))
+
+    def totals(self, texts: list[list[str]]) -> np.ndarray:
+        """Summed log-likelihoods of lists of words."""
+        if len(self.known) > CACHE:
+            self.known, self.rows = {}, np.zeros((0, self.k))
+        new = set().union(*texts).difference(self.known)
+        if new:
+            self.learn(list(new))
+        at = self.known.__getitem__
+        return np.array([self.rows[list(map(at, t))].sum(axis=0) if t else np.zeros(self.k) for t in texts]).reshape(len(texts), self.k)
+
+
+#: The last model's scorer of this worker, by the model's key; later tasks find what it remembers.
+LAST: dict[str, Scorer] = {}
+
+
+def scorer_of(key: str, model, k: int) -> Scorer:
+    if key not in LAST:
+        LAST.clear()
+        LAST[key] = Scorer(model.value, k)
+    return LAST[key]
 
 
 def fit(docs: DataFrame, vocab_path: str, max_rows: int = 2000, rounds: int = 2) -> tuple[list[str], dict[str, tuple]]:
     """Per-language piece probabilities by expectation maximisation.
 
     Learns from at most `max_rows` labelled documents of each language, those
-    of lowest hash among documents that are not held out. Languages x vocabulary
+    of lowest hash among documents that are not held out; all their letter
+    runs count, of any length. Rows without id, language or text are not
+    learned from; an empty table gives no language. Languages x vocabulary
     bounds what comes to the driver.
     """
-    small_batches(docs.sparkSession)
     vocab = vocabulary(vocab_path)
-    pool = docs.where("lang is not null and text is not null and pmod(crc32(cast(doc_id as string)), 5) <> 0")
+    longest = max(map(len, vocab))
+    pool = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     ids = pool.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
     few = ids.join(F.broadcast(ids.groupBy("lang").count()), "lang").where(f"(h / pow(2D, 64) + 0.5) * count <= {4 * max_rows}")  # holds the lowest; one row a language
     first = few.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(f"k <= {max_rows}")
     rows = pool.select("doc_id", "lang", "text").join(F.broadcast(first.select("lang", "doc_id")), ["lang", "doc_id"], "left_semi")  # at most max_rows ids a language
-    words = rows.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("w")).groupBy("lang", "w").count().cache()
+
+    def count(b):
+        n = Counter((lang, w) for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist()) for w in words_of(text))
+        return [k[0] for k in n], [k[1] for k in n], list(n.values())
+
+    words = per_batch(rows.select("lang", "text"), count, "lang string, w string, n long").groupBy("lang", "w").agg(F.sum("n").alias("count")).cache()
     start = {p: 1.0 / len(vocab) for p in vocab}
     models: dict[str, dict[str, float]] = {}
     for _ in range(rounds):
@@ -112,7 +208,7 @@ def fit(docs: DataFrame, vocab_path: str, max_rows: int = 2000, rounds: int = 2)
             got: dict = {}
             for f in frames:
                 for lang, w, n in zip(f["lang"], f["w"], f["count"]):
-                    for p, v in expected("▁" + w, now.value.get(lang, start)).items():
+                    for p, v in expected("▁" + w, now.value.get(lang, start), longest).items():
                         got[lang, p] = got.get((lang, p), 0.0) + v * n
             yield pd.DataFrame([(*k, v) for k, v in got.items()], columns=["lang", "p", "v"])
 
@@ -127,42 +223,41 @@ def fit(docs: DataFrame, vocab_path: str, max_rows: int = 2000, rounds: int = 2)
     return langs, {p: tuple(models[x][p] for x in langs) for p in vocab} if langs else {}
 
 
-def predict(docs: DataFrame, langs: list[str], model: dict[str, tuple]) -> DataFrame:
-    """doc_id, held_out, lang_pred and score for every whole text.
+def predict(docs: DataFrame, langs: list[str], model: dict[str, tuple], keep=("doc_id",), out=("lang_pred", "score")) -> DataFrame:
+    """The columns `keep` of docs with the predicted language and its score, named by `out`, for every whole text.
 
     Null text, text without letters, or a model without languages gives `und`
     and score 0. Equal likelihoods go to the first language by name. Repeated
-    rows are judged one by one.
+    rows are judged one by one, null ids like others, and an empty table gives
+    none. A long text is judged whole; its words count as often as they stand.
     """
-    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    k = len(langs)
-
-    def judge(frames):
-        m, cache = shared.value, {}
-        for f in frames:
-            out = []
-            for i, text in zip(f["doc_id"], f["text"]):
-                total = [0.0] * k
-                words = LETTERS.findall(text.lower()) if text else []
-                for w in words:
-                    v = cache.get(w)
-                    if v is None:
-                        if len(cache) >= CACHE:
-                            cache.clear()
-                        v = cache[w] = forward("▁" + w, m, k)
-                    for x in range(k):
-                        total[x] += v[x]
-                if not words or not k:
-                    out.append((i, held_out(i), "und", 0.0))
-                    continue
-                best = max(range(k), key=lambda x: total[x])
-                out.append((i, held_out(i), langs[best], 1 / sum(math.exp(max(t - total[best], -700)) for t in total)))
-            yield pd.DataFrame(out, columns=["doc_id", "held_out", "lang_pred", "score"]).astype({"doc_id": "Int64"})
-
-    return docs.select("doc_id", "text").mapInPandas(judge, "doc_id long, held_out boolean, lang_pred string, score double")
+    k, names, key = len(langs), list(keep), uuid.uuid4().hex
+    read = names if "text" in names else [*names, "text"]
+    schema = docs.select(*names).schema.add(out[0], "string").add(out[1], "double")
+
+    def run(batches):
+        import pyarrow as pa
+
+        from .common import slices
+
+        scorer = scorer_of(key, shared, k) if k else None
+        for b in slices(batches):
+            texts = [words_of(t) for t in b["text"].to_pylist()]
+            got, score = ["und"] * len(texts), [0.0] * len(texts)
+            if scorer:
+                total = scorer.totals(texts)
+                best = total.argmax(axis=1)
+                share = 1 / np.exp(np.maximum(total - total.max(axis=1, keepdims=True), -700)).sum(axis=1)
+                for i, t in enumerate(texts):
+                    if t:
+                        got[i], score[i] = langs[best[i]], float(share[i])
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), pa.array(got, pa.string()), pa.array(score, pa.float64())], names=[*names, *out])
+
+    return docs.select(*read).mapInArrow(run, schema)
 
 
 def op2_language(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return predict(docs, *fit(docs, public_tokenizers.path("piece_bpe_32k.model")))
+    got = predict(docs, *fit(docs, public_tokenizers.path("piece_bpe_32k.model")))
+    return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

@@ -1,22 +1,109 @@
 """Hierarchical packing of documents into sequences of several lengths."""
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
+from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import arrow_schema, as_batch, slices, table
 
 TIERS = (1024, 512, 256, 128)
 STEP = 8
+SPACE = re.compile(r"\s")
+#: Distinct words that a worker remembers with their ids, and how many new ones are encoded in one call.
+CACHE, TOGETHER = 1_000_000, 64
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, step_group long"
 
 
+class Encoder:
+    """Ids of texts by a byte-level BPE tokenizer that cuts before each space; words met before are not encoded again.
+
+    A space before a visible character, and a line break between visible ones,
+    always begin a new part of a text, and parts are encoded apart from each
+    other. So a text is the parts between spaces, each remembered by its ids.
+    Texts with other white space around spaces or breaks are encoded whole.
+    """
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        self.tok.encode_special_tokens = True
+        (self.line,) = self.whole(["\n"])[0]
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat, self.used = np.zeros(1 << 16, dtype="<u4"), 0
+        self.start, self.size, self.kind, self.tail = (np.zeros(0, dtype=k) for k in (np.int64, np.int64, np.int8, bool))
+
+    def whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, words: list[str]) -> None:
+        """Remember words. Kinds: 0 follows a space, 1 follows a line break, 2 is a line break alone, 3 needs its whole text."""
+        kind = [(2 if w == "\n" else 3 if not w[1:] or w[1].isspace() else 1) if w[:1] == "\n" else 3 if not w or w[0].isspace() else 0 for w in words]
+        plain = [i for i, k in enumerate(kind) if k < 2 and not SPACE.search(words[i], k)]
+        rest = sorted(set(range(len(words))) - set(plain))
+        own = [words[i][1:] if kind[i] else " " + words[i] for i in plain]
+        groups = self.whole(["\n".join(own[at:at + TOGETHER]) for at in range(0, len(own), TOGETHER)])
+        ids = np.array([x for g in groups for x in (self.line, *g)], dtype="<u4")  # now each word begins with the break before it
+        at = np.flatnonzero(ids == self.line)
+        size = np.diff(np.append(at, len(ids)))
+        spaced = np.array([kind[i] == 0 for i in plain], dtype=bool)
+        start, size = at + spaced, size - spaced  # a word after a space goes without the break
+        alone = self.whole([words[i] if kind[i] else " " + words[i] for i in rest])
+        extra = np.array([len(x) for x in alone], dtype=np.int64)
+        start, size = np.concatenate([start, len(ids) + np.cumsum(extra) - extra]), np.concatenate([size, extra])
+        new = np.concatenate([ids, np.array([y for x in alone for y in x], dtype="<u4")])
+        order = [*plain, *rest]
+        while self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used:self.used + len(new)] = new
+        self.start = np.concatenate([self.start, self.used + start])
+        self.size = np.concatenate([self.size, size])
+        self.kind = np.concatenate([self.kind, np.array([kind[i] for i in order], dtype=np.int8)])
+        self.tail = np.concatenate([self.tail, np.array([words[i][-1:].isspace() for i in order], dtype=bool)])
+        self.used += len(new)
+        self.index.update(zip((words[i] for i in order), range(len(self.index), len(self.index) + len(words))))
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if len(self.index) > CACHE:
+            self.forget()
+        parts = [("\n" + t.replace("\n", " \n")).split(" ") for t in texts]
+        new = set().union(*parts).difference(self.index)
+        if new:
+            self.learn(list(new))
+        out, slow = [], []
+        for n, p in enumerate(parts):
+            at = np.fromiter(map(self.index.__getitem__, p), dtype=np.int64, count=len(p))
+            kind = self.kind[at]
+            alone = np.flatnonzero(kind == 2)
+            if (kind == 3).any() or len(alone) and (alone[-1] + 1 == len(p) or (kind[alone + 1] != 1).any() or (kind[alone - 1] == 2)[alone > 0].any() or self.tail[at[alone - 1]][alone > 0].any()):
+                slow.append(n)
+                out.append(None)
+                continue
+            size = self.size[at]
+            end = np.cumsum(size)
+            out.append(self.flat[np.repeat(self.start[at] - end + size, size) + np.arange(end[-1])][1:])  # less the break before the text
+        for n, ids in zip(slow, self.whole([texts[n] for n in slow])):
+            out[n] = np.array(ids, dtype="<u4")
+        return out
+
+
+@lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """A worker's own encoder, which later tasks of the worker find with all it remembers."""
+    return Encoder(path)
+
+
 def pack(lengths: list[int], window: int = TIERS[0], tiers=TIERS) -> list[tuple[int, list[tuple[int, int, int]]]]:
     """(tier, pieces) of sequences from remainders shorter than a window; a piece is item, start in item and length.
 
@@ -65,56 +152,55 @@ def pack_documents(docs: DataFrame, vocab_path: str, window: int = TIERS[0], gro
     """Pieces of all documents, each id in exactly one.
 
     Full windows of a document become sequences where it is read; only
-    remainders are dealt, by a hash of doc_id, into groups of about
+    remainders are dealt, by a hash of id and text, into groups of about
     `group_bytes` of text, each packed by one task. Null or empty text is
-    the closing id 0 alone. Repeated rows are packed each on its own. A step
-    group holds sequences of one tier of a packing group, as many tokens as STEP
-    windows at most, and near-equal tokens as the others of its tier.
+    the closing id 0 alone. Repeated rows are packed each on its own and null
+    ids like others; a very long text is cut into windows and never meets
+    others but for its remainder. Other columns are not read. An empty table
+    gives no pieces. A step group holds sequences of one tier of a packing
+    group, as many tokens as STEP windows at most, and near-equal tokens as
+    the others of its tier.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(8, -(-total // group_bytes))
+    kinds, pieces = "g long, doc_id long, start long, length long, crc long, n long, ids binary", arrow_schema(PIECES)
 
-    def encode(frames):
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(vocab_path)
-        tok.encode_special_tokens = True
-        for f in frames:
+    def encode(batches):
+        coder, schema = encoder(vocab_path), arrow_schema(kinds)
+        for b in slices(batches):
             out = []
-            for i, text in zip(f["doc_id"], f["text"]):
-                ids = np.array([*tok.encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
-                g = zlib.crc32(b"deal%d" % (-1 if pd.isna(i) else i)) % groups
+            ids = b["doc_id"].to_pylist()
+            for i, ids in zip(ids, coder.encode([t or "" for t in b["text"].to_pylist()])):
+                ids = np.append(ids, np.uint32(0)).astype("<u4")
+                raw = ids.tobytes()
+                g = zlib.crc32(raw, zlib.crc32(b"deal%d" % (-1 if i is None else i))) % groups
                 full = len(ids) // window * window
                 for s in range(0, full, window):
-                    out.append((g, i, s, window, zlib.crc32(ids[s:s + window].tobytes()), len(ids), None))
+                    out.append((g, i, s, window, zlib.crc32(raw[4 * s:4 * (s + window)]), len(ids), None))
                 if full < len(ids):
-                    out.append((g, i, full, len(ids) - full, 0, len(ids), ids[full:].tobytes()))
-            yield pd.DataFrame(out, columns=["g", "doc_id", "start", "length", "crc", "n", "ids"]).astype({"doc_id": "Int64"})
-
-    def fill(f):
-        f = f.sort_values(["doc_id", "start", "n"], kind="stable")
-        base = int(f["g"].iloc[0]) << 32
-        whole, rest = f[f["ids"].isna()], f[f["ids"].notna()]
-        out = [(r.doc_id, r.start, window, r.crc, r.n, base + k, 0) for k, r in enumerate(whole.itertuples())]
+                    out.append((g, i, full, len(ids) - full, 0, len(ids), raw[4 * full:]))
+            yield as_batch(list(zip(*out)) or [[]] * len(schema), schema)
+
+    def fill(t):
+        t = t.to_pydict()
+        order = sorted(range(len(t["g"])), key=lambda k: (t["doc_id"][k] is None, t["doc_id"][k] or 0, t["start"][k], t["n"][k], t["ids"][k] or b"", t["crc"][k]))
+        base = t["g"][0] << 32
+        doc, start, n, crc, ids = (t[c] for c in ("doc_id", "start", "n", "crc", "ids"))
+        whole, rest = [k for k in order if ids[k] is None], [k for k in order if ids[k] is not None]
+        out = [(doc[k], start[k], window, crc[k], n[k], base + at, 0) for at, k in enumerate(whole)]
         used, tiers = [window] * len(whole), [window] * len(whole)
-        doc, start, n, ids = (rest[c].tolist() for c in ("doc_id", "start", "n", "ids"))
-        for tier, row in pack(rest["length"].tolist(), window):
+        for tier, row in pack([t["length"][k] for k in rest], window):
             at = 0
             for i, s, size in row:
-                cut = ids[i][4 * s:4 * (s + size)]
-                out.append((doc[i], start[i] + s, size, zlib.crc32(cut), n[i], base + len(used), at))
+                k = rest[i]
+                out.append((doc[k], start[k] + s, size, zlib.crc32(ids[k][4 * s:4 * (s + size)]), n[k], base + len(used), at))
                 at += size
             used.append(at)
             tiers.append(tier)
-        step = [base + k for k in steps(tiers, used, STEP * window)]
-        got = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-        k = got["sequence_id"] - base
-        return got.assign(tier=[tiers[x] for x in k], step_group=[step[x] for x in k]).astype({"doc_id": "Int64"})
+        step = steps(tiers, used, STEP * window)
+        return pa.Table.from_batches([as_batch([*zip(*out), [tiers[r[5] - base] for r in out], [base + step[r[5] - base] for r in out]], pieces)])
 
-    rows = docs.select("doc_id", "text").mapInPandas(encode, "g long, doc_id long, start long, length long, crc long, n long, ids binary")
-    return rows.groupBy("g").applyInPandas(fill, PIECES)
+    return docs.select("doc_id", "text").mapInArrow(encode, kinds).groupBy("g").applyInArrow(fill, PIECES)
 
 
 def op4_packing(spark, sf_dir) -> DataFrame:

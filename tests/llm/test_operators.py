@@ -1,9 +1,12 @@
 import hashlib
+import math
+import random
 import re
 import zlib
 from collections import defaultdict
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -83,15 +86,49 @@ def test_language_on_held_out_rows(spark, docs):
     assert (test.lang_pred == test.lang).mean() > 0.95
 
 
+def every_segmentation(word, prob):
+    """Sum over all segmentations, by recursion; an unknown character stands alone."""
+    if not word:
+        return 1.0
+    ends = [j for j in range(1, len(word) + 1) if word[:j] in prob]
+    return sum(prob[word[:j]] * every_segmentation(word[j:], prob) for j in ends) if ends else None
+
+
 def test_forward_sums_all_segmentations():
-    p = {"a": (0.2,), "b": (0.3,), "ab": (0.1,)}
-    assert language.forward("ab", p, 1)[0] == pytest.approx(__import__("math").log(0.2 * 0.3 + 0.1))
+    rng = random.Random(1)
+    pieces = {"".join(rng.choice("abc") for _ in range(n)) for n in (1, 1, 1, 2, 2, 3, 4, 5) * 3} | {"a", "b", "c"}
+    model = {p: (rng.random() / 10, rng.random() / 100) for p in pieces}
+    words = ["".join(rng.choice("abc") for _ in range(rng.randint(1, 40))) for _ in range(200)] + ["ab"]
+    short = [w for w in words if len(w) <= 12]
+    s = language.Scorer(model, 2)
+    got = dict(zip(words, s.forward(words)))
+    for w in short:
+        for k in (0, 1):
+            assert got[w][k] == pytest.approx(math.log(every_segmentation(w, {p: v[k] for p, v in model.items()})))
+    alone = {w: s.forward([w])[0] for w in words}  # others in the batch change nothing
+    assert all(np.allclose(got[w], alone[w]) for w in words)
+    row = {w: s.forward(["▁" + w])[0] for w in words}
+    assert np.allclose(s.totals([words, [], words[:2]]), [sum(row[w] for w in words), [0, 0], row[words[0]] + row[words[1]]])
+    assert s.forward(["aüb"])[0][0] == pytest.approx(math.log(model["a"][0] * language.UNKNOWN * model["b"][0]))
+    assert np.isfinite(s.forward(["ab" * 4000 + "ü" * 3000])).all()
+
+
+def test_words_are_letter_runs():
+    assert language.words_of("½ ² 12 _x_ Ünï-cödé Ⅷ a²b") == ["x", "ünï", "cödé", "a", "b"] and language.words_of(None) == [] and language.words_of("½ ²") == []
+
+
+def test_encoder_gives_the_tokenizer_s_ids():
+    rng = random.Random(3)
+    parts = [" ", "\n", "\t", "a", "bc", "'s", "12", ".", "é", "　", "\x1c", "\x85", "<|endoftext|>", "\r", "日本", " x"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(4000)] + ["", "a" * 5000, LONG]
+    e = packing.Encoder(str(packing.public_tokenizers.path("byte_bpe_50k.json")))
+    got = [x.tolist() for i in range(0, len(texts), 100) for x in e.encode(texts[i:i + 100])]
+    assert got == e.whole(texts)
 
 
 def test_packing_round_trip(spark, docs):
     from tokenizers import Tokenizer
 
-    import numpy as np
     bpe = language.public_tokenizers.path("byte_bpe_50k.json")
     got = QUERIES["op4_packing"](spark, SF).toPandas()
     tok = Tokenizer.from_file(str(bpe))
@@ -194,7 +231,6 @@ def test_near_copies_linked_through_a_text_like_a_leader_in_large_buckets(spark,
 
 
 def test_quality_counts_every_labelled_document(spark):
-    import numpy as np
     n = 20_600  # more than were once counted
     texts = [f"w{i % 997} v{i} " + "a b " * (i % 3) for i in range(n)]
     docs = spark.createDataFrame([*enumerate(texts), (None, "no id")], "doc_id long, text string")
@@ -206,7 +242,6 @@ def test_quality_counts_every_labelled_document(spark):
 
 
 def test_packed_counts_come_back():
-    import numpy as np
     for at, own in (([0], [1]), ([3, 70_000], [1, 300]), (list(range(5, 900, 4)), [70_000] * 224)):
         got = quality.unpacked(quality.packed_counts(np.array(at), np.array(own)))
         assert [x.tolist() for x in got] == [at, own]
@@ -246,7 +281,7 @@ def test_packing_of_short_documents_uses_short_windows(spark):
 def test_expected_counts_on_long_runs():
     prob = {"▁": 0.1, "a": 0.2, "b": 0.3, "ab": 0.1}
     for word, want in (("▁" + "ab" * 400, None), ("▁a" + "x" * 100 + "b", {"▁": 1, "a": 1, "b": 1})):
-        got = language.expected(word, prob)
+        got = language.expected(word, prob, 12)
         if want is None:  # each pair is one piece or two, with odds of 0.1 to 0.06
             want = {"▁": 1, "ab": 400 * 0.1 / 0.16, "a": 400 * 0.06 / 0.16, "b": 400 * 0.06 / 0.16}
         assert got == pytest.approx(want)
