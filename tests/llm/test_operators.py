@@ -3,7 +3,7 @@ import math
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
@@ -164,16 +164,69 @@ def test_decontamination_as_brute_force(spark, docs):
     assert {(r.doc_id, r.item_id) for r in QUERIES["op7_decontaminate"](spark, SF).collect()} == want
 
 
+def edits(a, b):
+    """Edit distance of lists, the whole table."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def near(a, b):
+    """Word edit similarity of at least 0.8, by the whole table where the words in common allow it."""
+    n = max(len(a), len(b))
+    return n - sum((Counter(a) & Counter(b)).values()) <= 0.2 * n + 1e-9 and edits(a, b) <= 0.2 * n + 1e-9
+
+
+def test_banded_distance_as_the_whole_table():
+    rng = random.Random(7)
+    for _ in range(3000):
+        a = [rng.randrange(4) for _ in range(rng.randint(0, 14))]
+        b = [x for x in a if rng.random() > 0.1] if rng.random() < 0.5 else [rng.randrange(4) for _ in range(rng.randint(0, 14))]
+        if b and rng.random() < 0.5:
+            b[rng.randrange(len(b))] = 9
+        most, want = rng.randint(0, 8), edits(a, b)
+        for f in (neardup.banded, neardup.distance_within):
+            assert f(np.array(a, dtype=int), np.array(b, dtype=int), most) == (want if want <= most else None)
+    a = np.arange(3000)
+    b = np.delete(np.where(a % 7 == 0, -1, a), [5, 900, 2000])
+    assert neardup.distance_within(a, b, 600) == 432 and neardup.distance_within(a, b, 431) is None and neardup.distance_within(a, a[::-1], 600) is None
+
+
 def test_near_copies_as_brute_force(spark, docs):
-    d = {i: shingles(t) or {t} for i, t in zip(docs.doc_id, docs.text) if t}
-    cls = {i: i for i in docs.doc_id}
-    for a in sorted(d):
-        for b in sorted(d):
-            if a < b and cls[a] != cls[b] and len(d[a] & d[b]) >= 0.8 * len(d[a] | d[b]):
-                old, new = max(cls[a], cls[b]), min(cls[a], cls[b])
-                cls = {i: new if c == old else c for i, c in cls.items()}
+    words = {i: re.findall(r"[^\W_]+", t.lower()) for i, t in zip(docs.doc_id, docs.text) if t}
+    words = {i: w for i, w in words.items() if w}
+    cls = closed(sorted(words), lambda a, b: near(words[a], words[b]))
     got = {r.doc_id: r.class_id for r in QUERIES["op8_neardup"](spark, SF).collect()}
-    assert got == cls
+    assert got == {i: cls.get(i, i) for i in docs.doc_id}
+
+
+def test_near_copies_of_odd_rows(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(50)) for c in "pq")
+    big = 2**53 + 1
+    rows = [(1, one), (1, two), (7, two), (8, one), (8, one), (None, one), (None, None), (3, None), (4, ""), (4, ""), (big, "x y z"), (big + 1, "x y z"), (9, "½ -- !")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'a' as class_id", "'b' as k1", "'c' as h1").coalesce(1)
+    got = neardup.classes(df).collect()
+    key = {(r, t): {x.class_key for x in got if x.doc_id == r} for r, t in rows}
+    assert len(got) == len(rows)
+    assert len(key[7, two]) == len(key[8, one]) == 1 and key[7, two] != key[8, one] and key[1, one] == key[7, two] | key[8, one]
+    assert {x.class_id for x in got if x.doc_id == 8} == {x.class_id for x in got if x.doc_id == 7} == {1}
+    assert [(x.class_id, x.class_key) for x in got if x.doc_id in (3, 4)] == [(3, None), (4, None), (4, None)]
+    assert {x.class_id for x in got if x.doc_id in (big, big + 1)} == {big} and key[9, "½ -- !"] != {None}
+    assert sorted(x.class_id or 0 for x in got if x.doc_id is None) == [0, 1]
+    stay = neardup.one_of_each(df).collect()
+    assert sorted(((r.doc_id or 0, r.text or "") for r in stay)) == sorted([(1, one), (1, two), (0, ""), (3, ""), (4, ""), (big, "x y z"), (9, "½ -- !")])
+    assert neardup.one_of_each(df).columns == df.columns and neardup.one_of_each(df.limit(0)).count() == 0
+
+
+def test_a_representative_stays_though_its_id_has_another_text(spark):
+    a, b = ([f"{c}{i}" for i in range(50)] for c in "ab")
+    rows = [(3, " ".join(a)), (5, " ".join([*a[:49], "x"])), (3, " ".join(b)), (2, " ".join([*b[:49], "x"]))]
+    stay = neardup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(tuple(r) for r in stay) == sorted([rows[0], rows[3]])
 
 
 def test_html_articles(spark):
@@ -216,18 +269,17 @@ def closed(ids, like):
 
 def test_near_copies_linked_through_a_text_like_a_leader_in_large_buckets(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 100)
-    base = [f"b{i}" for i in range(200)]
-    texts = [" ".join(base)]
-    for g in range(150):  # each A is like the base, its B like A only: 200 words are 196 shingles, and a word changed takes five
-        a = [f"x{g}" if i in (3, 40 + g % 50, 190) else w for i, w in enumerate(base)]
-        b = [f"y{g}" if i in (20, 110 + g % 50, 175) else w for i, w in enumerate(a)]
-        texts += [" ".join(a), " ".join(b)]
-    sets = dict(enumerate(map(shingles, texts)))
-    like = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    base = [f"b{i}" for i in range(60)]
+    texts = [base]
+    for g in range(150):  # each A is like the base, its B like A only
+        a = [f"x{g}.{i}" if i in range(g % 20, g % 20 + 9) else w for i, w in enumerate(base)]
+        texts += [a, [f"y{g}.{i}" if i in range(30 + g % 20, 39 + g % 20) else w for i, w in enumerate(a)]]
+    texts = [[w.replace(".", "z") for w in t] for t in texts]
+    like = lambda a, b: near(texts[a], texts[b])
     assert like(0, 1) and like(1, 2) and not like(0, 2)
     monkeypatch.setattr(neardup, "order_minhash", lambda h: [1])  # one bucket holds all: no other can help
-    got = {r.doc_id: r.class_id for r in neardup.classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
-    assert got == closed(list(sets), like)
+    got = {r.doc_id: r.class_id for r in neardup.classes(spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")).collect()}
+    assert got == closed(range(len(texts)), like)
 
 
 def test_quality_counts_every_labelled_document(spark):
