@@ -24,16 +24,22 @@ def unescape(c):
 
 
 def fold(events: DataFrame) -> DataFrame:
-    """(conv_id, turns: array of role and text) from (conv_id, msg, seq, op, role, text).
-
-    Events of a message apply by seq, ties by op, role and text: `create`,
-    `edit` and `regenerate` set the text, `delta` appends to it and `delete`
-    removes the message. A second `create` under one msg is a message of its own.
-    Null texts and roles are empty. Messages stand by msg. A message is folded
-    before conversations gather, so a long log is not one task's work.
+    """(conv_id, turns: array of role and text) from (conv_id, msg, part, seq, op, role, text).
+
+    The events of one part of a message apply by seq, ties by op, role and text:
+    `create`, `edit` and `regenerate` set the text, `delta` appends to it and
+    `delete` removes the message. A second `create` in one part is a message of its
+    own. Without a column part each message is one part; where it has several,
+    they are messages of their own, by role and text. Null texts, roles and ops are
+    empty, empty and `create`; null ids are an id like others. Messages stand by
+    msg. A message is folded before conversations gather, so a long log is not
+    one task's work; a conversation itself is one row, whatever its length, as it
+    is rendered as one text. Repeated events apply again. An empty log gives no
+    rows; other columns are not read.
     """
-    e = events.select("conv_id", "msg", F.struct("seq", F.coalesce("op", F.lit("create")).alias("op"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("e"))
-    logs = e.groupBy("conv_id", "msg").agg(F.sort_array(F.collect_list("e")).alias("log"))
+    part = ["part"] if "part" in events.columns else []
+    e = events.select("conv_id", "msg", *part, F.struct("seq", F.coalesce("op", F.lit("create")).alias("op"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("e"))
+    logs = e.groupBy("conv_id", "msg", *part).agg(F.sort_array(F.collect_list("e")).alias("log"))
     # each create opens a run of events that ends before the next one
     opens = F.expr("filter(sequence(1, size(log)), i -> i = 1 or log[i - 1].op = 'create')")
     runs = logs.withColumn("opens", opens).withColumn("runs", F.expr("transform(opens, (o, k) -> slice(log, o, coalesce(try_element_at(opens, k + 2), size(log) + 1) - o))"))
@@ -45,7 +51,12 @@ def fold(events: DataFrame) -> DataFrame:
 
 
 def render(folded: DataFrame) -> DataFrame:
-    """(conv_id, formatted): assistant texts open with the loss marker, others with the text marker."""
+    """(conv_id, formatted): assistant texts open with the loss marker, others with the text marker.
+
+    Marker characters inside roles and texts are escaped, so `read_back` gives
+    back what came in: empty texts, markers and very long texts among them. A
+    conversation without messages is empty.
+    """
     one = F.transform("turns", lambda t: F.concat(F.lit(TURN), escape(t["role"]), F.when(t["role"] == "assistant", LOSS).otherwise(TEXT), escape(t["text"]), F.lit(END)))
     return folded.select("conv_id", F.array_join(one, "").alias("formatted"))
 
@@ -67,11 +78,21 @@ def digest(parsed: DataFrame) -> DataFrame:
     return parsed.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"), F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def log_of(turns: DataFrame) -> DataFrame:
+    """An event log that ends in these turns (conv_id, turn, role, text): each is streamed, edited, begun again and streamed anew."""
+    n = F.length("text")
+    cut = lambda k: (F.substring("text", F.lit(1), k.cast("int")), F.substring("text", k.cast("int") + 1, n))
+    (one, two), (three, four) = cut(F.floor(n / 2)), cut(F.floor(n / 3))
+    steps = [("create", one), ("delta", two), ("edit", F.concat(F.lit("<draft> "), "text")), ("regenerate", three), ("delta", four)]
+    log = F.array(*[F.struct(F.lit(k).alias("seq"), F.lit(op).alias("op"), text.alias("text")) for k, (op, text) in enumerate(steps)])
+    rows = turns.select("conv_id", F.col("turn").alias("msg"), F.monotonically_increasing_id().alias("part"), "role", F.coalesce("text", F.lit("")).alias("text"))
+    return rows.select("conv_id", "msg", "part", "role", F.explode(log).alias("e")).select("conv_id", "msg", "part", "e.seq", "e.op", "role", "e.text")
+
+
 def op6_chat(spark, sf_dir) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
     more = spark.sql("select -7L conv_id, t.turn, t.role, '</s>[INST] ok [/INST]' text from values (0L, 'user'), (1L, 'assistant') t(turn, role)")
-    events = rows.unionByName(more).select("conv_id", F.col("turn").alias("msg"), F.lit(0).alias("seq"), F.lit("create").alias("op"), "role", "text")
-    return digest(read_back(render(fold(events))))
+    return digest(read_back(render(fold(log_of(rows.unionByName(more))))))
 
 
 SQL = {"op6_chat": r"""

@@ -53,9 +53,6 @@ def per_batch(df: DataFrame, f: Callable, schema: str, rows: int = 256) -> DataF
     return df.mapInArrow(run, schema)
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
 
 def hash_words(words: list[str]) -> np.ndarray:
     """Deterministic 64-bit hashes of words."""

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import per_batch, table
 
 #: Element kinds of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -57,7 +57,8 @@ class Tree(HTMLParser):
         self.up.append(self.open[-1])
         self.marks.append(frozenset(re.findall(r"[a-z]+", words.lower())))
         if tag in VOID:
-            self.texts.append((len(self.tags) - 1, " "))
+            if tag in ("br", "hr"):  # others stand inside a line, or even a word
+                self.texts.append((len(self.tags) - 1, " "))
         else:
             self.open.append(len(self.tags) - 1)
 
@@ -159,7 +160,6 @@ def boost(x, y, rounds: int = 24, rate: float = 0.3, depth: int = 3) -> list:
 
 def fit(pages: DataFrame, max_pages: int = 200) -> list | None:
     """Learn from at most `max_pages` pages that mark their article, those of lowest hash; None without any."""
-    small_batches(pages.sparkSession)
     ids = pages.where("html is not null").select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(max_pages)
     rows = pages.where("html is not null").join(F.broadcast(ids), "page_id", "left_semi").select("html")  # at most max_pages ids
 
@@ -209,15 +209,17 @@ def main_text(html: str | None, model: list | None) -> str:
 
 
 def extract(pages: DataFrame, model: list | None) -> DataFrame:
-    """page_id, url, text and n_chars of every page; null or empty html gives empty text. Repeated rows are read each."""
-    small_batches(pages.sparkSession)
+    """page_id, url, text and n_chars of every page.
 
-    def run(frames):
-        for f in frames:
-            texts = [main_text(h, model) for h in f["html"]]
-            yield pd.DataFrame({"page_id": f["page_id"], "url": f["url"], "text": texts, "n_chars": [len(x) for x in texts]})
+    Null or empty html gives empty text; urls may be null. Pages are read whole,
+    however long. Repeated rows and null ids are read each; an empty table gives
+    no rows; other columns are not read.
+    """
+    def run(b):
+        texts = [main_text(h, model) for h in b["html"].to_pylist()]
+        return b["page_id"], b["url"], texts, [len(x) for x in texts]
 
-    return pages.select("page_id", "url", "html").mapInPandas(run, "page_id long, url string, text string, n_chars long")
+    return per_batch(pages.select("page_id", "url", "html"), run, "page_id long, url string, text string, n_chars long")
 
 
 def op9_html(spark, sf_dir) -> DataFrame:

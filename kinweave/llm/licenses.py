@@ -5,10 +5,9 @@ import re
 from bisect import bisect_right
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import DataFrame
 
-from .common import small_batches, table
+from .common import per_batch, table
 
 #: Base phrases and labels.
 BASE = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -113,16 +112,13 @@ def scan(docs: DataFrame) -> DataFrame:
     """Licenses of every whole text of (doc_id, text).
 
     Null or empty text has no words: counts 0, labels empty, score 0, no places.
-    Repeated rows are scanned each; other columns are not read.
+    Long texts are scanned whole. Repeated rows and null ids are scanned each; an
+    empty table gives no rows; other columns are not read.
     """
-    small_batches(docs.sparkSession)
+    def run(b):
+        return [b["doc_id"], *zip(*map(scan_text, b["text"].to_pylist()))]
 
-    def run(frames):
-        for f in frames:
-            out = [(i, *scan_text(t)) for i, t in zip(f["doc_id"], f["text"])]
-            yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]).astype({"doc_id": "Int64", "first_word": "Int64", "last_word": "Int64"})
-
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
+    return per_batch(docs.select("doc_id", "text"), run, "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
 
 
 def op5_licenses(spark, sf_dir) -> DataFrame:

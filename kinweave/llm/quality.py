@@ -8,13 +8,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, hash_words, mix, ngram_hashes, small_batches, table, written
+from .common import WORD, arrow_schema, as_batch, drop, hash_words, mix, ngram_hashes, per_batch, slices, table, written
 
 BUCKETS = 1 << 16
 SYMBOLS = frozenset("#*$%&|<>")
 #: Bits of the map that leaves out documents without a label; about a quarter are set at five million labels.
 SIEVE = 1 << 25
-COUNTED = ["doc_id", "counts", "failed", "b", "raw"]
+COUNTED = "doc_id long, counts binary, failed boolean, b long, raw long"
 
 
 def buckets_of(words: list[str], buckets: int = BUCKETS) -> np.ndarray:
@@ -95,26 +95,27 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, spread: floa
     table of `buckets` rows and the means come to the driver, whatever the
     corpus holds.
     """
-    small_batches(docs.sparkSession)
+    held: list = []
     marks = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("q")).where("q in (0, 1)")
     sieve = docs.sparkSession.sparkContext.broadcast(sieve_of(marks))
 
-    def count(frames):
-        totals = np.zeros(buckets, dtype=np.int64)
-        for f in frames:
-            ids, out = f["doc_id"].to_numpy(dtype=np.int64), []
-            for i, text, m in zip(ids, f["text"], in_sieve(sieve.value, ids) & f["has"].to_numpy(dtype=bool)):
+    def count(batches):
+        totals, schema = np.zeros(buckets, dtype=np.int64), arrow_schema(COUNTED)
+        for b in slices(batches):
+            out, ids = [], b["doc_id"].to_pylist()
+            there = in_sieve(sieve.value, np.array([i or 0 for i in ids], dtype=np.int64))
+            for i, text, m in zip(ids, b["text"].to_pylist(), there):
                 at, own = np.unique(buckets_of(WORD.findall(text or ""), buckets), return_counts=True)
                 totals[at] += own
-                if m and len(at):
+                if m and i is not None and len(at):
                     out.append((i, packed_counts(at, own), base_failed(*base_counts(text)), None, None))
-            yield pd.DataFrame(out, columns=COUNTED)
+            yield as_batch(list(zip(*out)) or [[]] * 5, schema)
         at = np.flatnonzero(totals)
-        yield pd.DataFrame([(None, None, None, b, v) for b, v in zip(at.tolist(), totals[at].tolist())], columns=COUNTED)
+        none = [None] * len(at)
+        yield as_batch([none, none, none, at, totals[at]], schema)
 
-    kinds = "doc_id long, counts binary, failed boolean, b long, raw long"
-    counted = written(docs.select(F.expr("coalesce(doc_id, 0) as doc_id"), F.expr("doc_id is not null as has"), "text").mapInPandas(count, kinds), "counted")
-    labelled = written(counted.where("doc_id is not null").join(marks, "doc_id").select("counts", "failed", "q"), "labelled")
+    counted = written(docs.select("doc_id", "text").mapInArrow(count, COUNTED), "counted", held)
+    labelled = written(counted.where("doc_id is not null").join(marks, "doc_id").select("counts", "failed", "q"), "labelled", held)
 
     def trusted(frames):
         total = np.zeros(buckets, dtype=np.int64)
@@ -147,6 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, spread: floa
         yield pd.DataFrame({"q": [0, 1], "n": sums[:, 0], "s": sums[:, 1], "ss": sums[:, 2]})
 
     sums = {r["q"]: r for r in labelled.where("not failed").select("counts", "q").mapInPandas(left_out, "q int, n double, s double, ss double").groupBy("q").agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss")]).where("n > 0").collect()}
+    drop(docs.sparkSession, held)
     if len(sums) < 2:
         return ratio, float("-inf")
     low, high = (sums[q]["s"] / sums[q]["n"] for q in (0, 1))
@@ -161,25 +163,23 @@ def base_failed(n: int, chars: int, symbols: int, dup: int, repeated: int, min_w
 def score(docs: DataFrame, ratio: np.ndarray, threshold: float, min_words: int = 50) -> DataFrame:
     """Judge every document of (doc_id, text).
 
-    Null or empty text has no words and fails; its score is 0. Repeated rows
-    are judged one by one; columns beyond doc_id and text are not read.
+    Null or empty text has no words and fails; its score is 0. Texts are read
+    whole, however long. Repeated rows and null ids are judged one by one;
+    columns beyond doc_id and text are not read; an empty table gives no rows.
     """
-    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(ratio)  # `buckets` doubles
 
-    def judge(frames):
-        r = model.value
-        for f in frames:
-            out = []
-            for i, text in zip(f["doc_id"], f["text"]):
-                n, chars, sym, dup, rep = base_counts(text)
-                b = buckets_of(WORD.findall(text or ""), len(r))
-                s = float(r[b].mean()) if len(b) else 0.0
-                failed = base_failed(n, chars, sym, dup, rep, min_words)
-                out.append((i, n, chars, sym, dup, rep, failed, not failed and s >= threshold, s))
-            yield pd.DataFrame(out, columns=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "llr"]).astype({"doc_id": "Int64"})
-
-    return docs.select("doc_id", "text").mapInPandas(judge, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, llr double")
+    def judge(b):
+        r, out = model.value, []
+        for text in b["text"].to_pylist():
+            counts = base_counts(text)
+            at = buckets_of(WORD.findall(text or ""), len(r))
+            s = float(r[at].mean()) if len(at) else 0.0
+            failed = base_failed(*counts, min_words)
+            out.append((*counts, failed, not failed and s >= threshold, s))
+        return [b["doc_id"], *zip(*out)]
+
+    return per_batch(docs.select("doc_id", "text"), judge, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, llr double")
 
 
 def op1_quality(spark, sf_dir) -> DataFrame:

@@ -4,11 +4,12 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .common import WORD, hash_words, mix, ngram_hashes, small_batches, table, written
+from .common import WORD, drop, hash_words, mix, ngram_hashes, slices, table, written
 
 WINDOW = 20
 SEED = 8
@@ -86,93 +87,115 @@ def cut(words: list[str], starts) -> tuple[list[str], int]:
     return [w for w, x in zip(words, gone) if not x], int(gone.sum())
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, runs): runs (first, count) of windows whose words also start in a document of smaller id.
-
-    Documents meet on winnowed anchors. Around each shared anchor the whole
-    stretch of windows that hold it is compared first, by its hash: later
-    documents with an equal stretch are done. Where the stretches of one anchor
-    differ, the match grows both ways window by window, but only for the first
-    document of each distinct stretch, as all others equal one of these. So
-    pairs of occurrences are never listed, and copies add no window rows.
+def place(docs: DataFrame) -> F.Column:
+    """What orders documents: doc_id, or where ids are null or have several texts, a struct with the text's hash; null ids come last."""
+    odd = docs.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b")).where("doc_id is null or a <> b")
+    if odd.isEmpty():
+        return F.col("doc_id")
+    return F.struct(F.col("doc_id").isNull().alias("n"), F.coalesce("doc_id", F.lit(0)).alias("d"), F.xxhash64("text").alias("h"))
+
+
+def spans(rows: DataFrame, f, schema: str) -> DataFrame:
+    """What f gives for each row, a dict of its columns: arrays of one length, in columns of schema after the row's place p."""
+    kinds = [t.split()[1] for t in schema.split(", ")]
+    types = {"long": pa.int64(), "int": pa.int32(), "short": pa.int16()}
+
+    def run(batches):
+        names = ["p", *(t.split()[0] for t in schema.split(", "))]
+        for b in slices(batches):
+            got = [f(dict(zip(b.schema.names, r))) for r in zip(*(c.to_pylist() for c in b.columns))]
+            size = [len(g[0]) for g in got]
+            cols = [np.concatenate(c) for c in zip(*got)]
+            p = b["p"].take(pa.array(np.repeat(np.arange(len(size)), size)))
+            yield pa.RecordBatch.from_arrays([p, *(pa.array(c, types[k]) for c, k in zip(cols, kinds))], names=names)
+
+    out = rows.select("p").schema
+    for t in StructType.fromDDL(schema).fields:
+        out = out.add(t)
+    return rows.mapInArrow(run, out)
+
+
+def repeats(docs: DataFrame, p) -> DataFrame:
+    """(p, runs): runs (first, count) of windows whose words also start in an earlier document; p is the place of documents.
+
+    Documents meet on winnowed anchors. Around each shared anchor the match is
+    extended both ways over the whole stretch of windows that hold it, at once,
+    by the hash of the stretch: later documents with an equal stretch are done.
+    Where the stretches of one anchor differ, it is extended window by window, but only
+    for the first document of each distinct stretch, as all others equal one
+    of these. So pairs of occurrences are never listed, and copies add no window
+    rows. Runs that meet or overlap make up the maximal repeats.
     """
-    small_batches(docs.sparkSession)
-    rows = docs.where("doc_id is not null").select("doc_id", "text")
-
-    def chunks(frames):
-        for f in frames:
-            out = []
-            for i, text in zip(f["doc_id"], f["text"]):
-                a, c, lo, n = chunks_of(hash_words(WORD.findall(text or "")))
-                out.append((a, c, np.full(len(a), i, dtype=np.int64), lo, n))
-            if out:
-                a, c, i, lo, n = (np.concatenate(v) for v in zip(*out))
-                yield pd.DataFrame({"a": a.astype(np.int64), "c": c.astype(np.int64), "doc_id": i, "lo": lo, "n": n})
-
-    chunk = written(rows.mapInPandas(chunks, "a long, c long, doc_id long, lo int, n short"), "chunks")
-    often = written(chunk.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select("a"), "anchors")
-    shared = written(chunk.join(often, "a", "left_semi"), "shared")
-    groups = written(shared.groupBy("a", "c").agg(F.min("doc_id").alias("first"), F.count("*").alias("k")), "groups")
+    held: list = []
+    rows = docs.select(p.alias("p"), "text")
+
+    def chunks(r):
+        a, c, lo, n = chunks_of(hash_words(WORD.findall(r["text"] or "")))
+        return a.astype(np.int64), c.astype(np.int64), lo, n
+
+    chunk = written(spans(rows, chunks, "a long, c long, lo int, n short"), "chunks", held)
+    often = written(chunk.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select("a"), "anchors", held)
+    shared = written(chunk.join(often, "a", "left_semi"), "shared", held)
+    groups = written(shared.groupBy("a", "c").agg(F.min("p").alias("first"), F.count("*").alias("k")), "groups", held)
     mixed = groups.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select("a")
-    equal = shared.join(groups.where("k > 1").select("a", "c", "first"), ["a", "c"]).where("doc_id > first").select("doc_id", "lo", "n")
-    lead = groups.join(written(mixed, "mixed"), "a", "left_semi").select(F.col("first").alias("doc_id"), "a", "c")
-    held = shared.join(lead, ["a", "c", "doc_id"], "left_semi").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
-
-    def windows(frames):
-        for f in frames:
-            out = []
-            for i, text, runs in zip(f["doc_id"], f["text"], f["runs"]):
-                h = hash_words(WORD.findall(text or ""))
-                at = np.unique(spread([r["lo"] for r in runs], [r["n"] for r in runs]))
-                at = at[at <= len(h) - WINDOW]  # rows that share an id may have other texts
-                x, y = window_hashes(h, at)
-                _, first = np.unique(np.stack([x, y]), axis=1, return_index=True)
-                out.append((x[first], y[first], np.full(len(first), i, dtype=np.int64), at[first]))
-            if out:
-                x, y, i, at = (np.concatenate(v) for v in zip(*out))
-                yield pd.DataFrame({"x": x.astype(np.int64), "y": y.astype(np.int64), "doc_id": i, "lo": at})
-
-    grown = written(rows.join(held, "doc_id").mapInPandas(windows, "x long, y long, doc_id long, lo int"), "windows")
-    first = written(grown.groupBy("x", "y").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").drop("last"), "first")
-    later = grown.join(first, ["x", "y"]).where("doc_id > first").select("doc_id", "lo", F.lit(1).cast("short").alias("n"))
-    return equal.union(later).groupBy("doc_id").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
-
-
-def cleaned(docs: DataFrame) -> DataFrame:
-    """All columns of docs with text less its repeated words (joined by one space where any went), n_words and n_removed.
-
-    Null or empty text has no words and stays as it is. Rows that share a doc_id
-    are not compared with each other, but cut alike, by all that repeats under
-    that id; a null doc_id is compared with itself only.
+    equal = shared.join(groups.where("k > 1").select("a", "c", "first"), ["a", "c"]).where("p > first").select("p", "lo", "n")
+    lead = groups.join(written(mixed, "mixed", held), "a", "left_semi").select(F.col("first").alias("p"), "a", "c")
+    runs = shared.join(lead, ["a", "c", "p"], "left_semi").groupBy("p").agg(F.collect_list(F.struct("lo", "n")).alias("runs"))
+
+    def windows(r):
+        h = hash_words(WORD.findall(r["text"] or ""))
+        at = np.unique(spread([x["lo"] for x in r["runs"]], [x["n"] for x in r["runs"]]))
+        x, y = window_hashes(h, at)
+        _, first = np.unique(np.stack([x, y]), axis=1, return_index=True)
+        return x[first].astype(np.int64), y[first].astype(np.int64), at[first]
+
+    grown = written(spans(rows.join(runs, "p"), windows, "x long, y long, lo int"), "windows", held)
+    first = written(grown.groupBy("x", "y").agg(F.min("p").alias("first"), F.max("p").alias("last")).where("first < last").drop("last"), "first", held)
+    later = grown.join(first, ["x", "y"]).where("p > first").select("p", "lo", F.lit(1).cast("short").alias("n"))
+    out = written(equal.union(later).groupBy("p").agg(F.collect_list(F.struct("lo", "n")).alias("runs")), "repeats")
+    drop(docs.sparkSession, held)
+    return out
+
+
+def cleaned(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Columns of docs (all, or `keep`) with text less its repeated words (joined by one space where any went), and `__words` and `__removed`, their counts.
+
+    Null or empty text has no words and stays as it is; long texts are read
+    whole. Documents are ordered by doc_id; those that share an id by the hash of their
+    text, and null ids come last, so every text is compared with all others.
+    Rows of equal id and text are one document and are cut alike. An empty table
+    gives no rows.
     """
-    small_batches(docs.sparkSession)
-    cols = docs.columns
-    marked = docs.join(repeats(docs).withColumnRenamed("runs", "__runs"), "doc_id", "left").select(*[docs[c] for c in cols], "__runs")
-    schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + ", __n_words long, __n_removed long"
-
-    def run(frames):
-        for f in frames:
+    p = place(docs)
+    cols = keep or docs.columns
+    found = repeats(docs, p)
+    marked = docs.select(*cols, p.alias("__p")).join(found.select(F.col("p").alias("__p"), F.col("runs").alias("__runs")), "__p", "left").select(*cols, "__runs")
+    out = docs.select(*cols).schema.add("__words", "long").add("__removed", "long")
+
+    def run(batches):
+        for b in slices(batches):
             texts, n, gone = [], [], []
-            for text, runs in zip(f["text"], f["__runs"]):
+            for text, runs in zip(b["text"].to_pylist(), b["__runs"].to_pylist()):
                 words = WORD.findall(text or "")
                 starts = own_repeats(hash_words(words))
                 if runs is not None:
                     starts = np.concatenate([starts, spread([r["lo"] for r in runs], [r["n"] for r in runs])])
-                left, k = cut(words, starts[starts <= len(words) - WINDOW]) if len(starts) else (words, 0)
+                left, k = cut(words, starts) if len(starts) else (words, 0)
                 texts.append(" ".join(left) if k else text)
                 n.append(len(words))
                 gone.append(k)
-            yield f[cols].assign(text=texts, __n_words=n, __n_removed=gone)
+            new = {"text": pa.array(texts, pa.string()), "__words": pa.array(n, pa.int64()), "__removed": pa.array(gone, pa.int64())}
+            yield pa.RecordBatch.from_arrays([new[c] if c in new else b[c] for c in out.names], names=out.names)
 
-    return marked.mapInPandas(run, schema)
+    return marked.mapInArrow(run, out)
 
 
 def op10_substrings(spark, sf_dir) -> DataFrame:
-    out = cleaned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = cleaned(table(spark, sf_dir, "documents"), ["doc_id", "text"])
 
-    def digest(frames):
-        for f in frames:
-            kept = [hashlib.sha256(" ".join(WORD.findall(t or "")).encode()).hexdigest() for t in f["text"]]
-            yield pd.DataFrame({"doc_id": f["doc_id"], "n_words": f["__n_words"], "n_removed": f["__n_removed"], "kept_sha256": kept})
+    def digest(batches):
+        for b in slices(batches):
+            kept = [hashlib.sha256(" ".join(WORD.findall(t or "")).encode()).hexdigest() for t in b["text"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["__words"], b["__removed"], pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return out.mapInPandas(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return out.mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")

@@ -156,6 +156,30 @@ def test_chat_same_as_sql(spark):
     pd.testing.assert_frame_equal(got.sort_values("conv_id", ignore_index=True)[want.columns], want.sort_values("conv_id", ignore_index=True), check_dtype=False)
 
 
+def test_random_logs_fold_as_brute_force(spark):
+    rng = random.Random(11)
+    rows, want = [], {}
+    for conv in range(40):
+        turns = []
+        for msg in range(rng.randint(1, 4)):
+            log, text, gone = [("create", "a")], "a", False
+            for _ in range(rng.randint(0, 6)):
+                op = rng.choice(["delta", "delta", "edit", "regenerate"])
+                part = rng.choice(["<|end|>", "[x", "&lt;", "", "é"])
+                log.append((op, part))
+                text = text + part if op == "delta" else part
+            if rng.random() < 0.2:
+                log.append(("delete", None))
+                gone = True
+            rows += [(conv, msg, k, op, "assistant" if msg % 2 else "user", t) for k, (op, t) in enumerate(log)]
+            turns += [] if gone else [("assistant" if msg % 2 else "user", text, bool(msg % 2))]
+        want[conv] = turns
+    rng.shuffle(rows)
+    log = spark.createDataFrame(rows, "conv_id long, msg long, seq long, op string, role string, text string")
+    got = {r.conv_id: [tuple(t) for t in r.turns] for r in chat.read_back(chat.render(chat.fold(log))).collect()}
+    assert got == want
+
+
 def test_decontamination_as_brute_force(spark, docs):
     items = duckdb.sql(f"select * from '{SF}/benchmark.parquet'").df()
     d = {i: shingles(t) for i, t in zip(docs.doc_id, docs.text)}
@@ -256,6 +280,44 @@ def test_pipeline(spark):
     assert out.count() > 0 and [s[0] for s in corpus_pipeline.STAGES] == ["language", "neardup", "substrings", "decontaminate", "packing"]
 
 
+def test_short_items_and_odd_rows_are_searched(spark):
+    rows = [(1, "we know that two plus two is four"), (1, "other text under the same id with two plus  TWO."), (2, "what is two, plus two"), (None, "so two plus two"), (3, None), (4, ""), (2**53 + 1, "a b c d e f g h i j k l m n o p q r s t " * 3), (2**53 + 1, "a b c d e f g h i j k l m n o p q r s t " * 3)]
+    items = [(1, "two plus two"), (2, "what is two plus"), (3, "two"), (4, None), (None, "two plus two"), (5, "c d e f g h"), (6, "a b c d e f g h i j k l m n o p q r s x"), (7, "a b c d e x f g h i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as item_id", "2 as h", "3 as size")
+    items = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 as n")
+    got = decontaminate.search(docs, items).collect()
+    assert sorted((r.doc_id or 0, r.item_id, r.shared, r.size) for r in got) == [(0, 1, 1, 1), (1, 1, 1, 1), (2, 1, 1, 1), (2, 2, 1, 1), (2**53 + 1, 5, 2, 2), (2**53 + 1, 6, 15, 16)]
+    left = decontaminate.without(docs, items)
+    assert sorted((r.doc_id, r.text or "") for r in left.collect()) == [(3, ""), (4, "")] and left.columns == docs.columns
+    assert decontaminate.search(docs.limit(0), items).count() == decontaminate.search(docs, items.limit(0)).count() == 0 and decontaminate.without(docs, items.limit(0)).count() == len(rows)
+
+
+def test_no_item_is_missed_at_the_threshold(spark):
+    rng = random.Random(2)
+    docs, items, want = [], [], set()
+    for i, n in enumerate((5, 9, 14, 24, 40, 90, 200, 700, 1500)):
+        words = [f"w{i}x{k}" for k in range(n)]
+        items.append((i, " ".join(words)))
+        for c in range(3):
+            mine = list(words)
+            for _ in range(rng.randint(0, n // 20)):
+                mine[rng.randrange(n)] = "zz"
+            docs.append((len(docs), " ".join(["before", *mine, "after"])))
+            if len(shingles(docs[-1][1]) & shingles(items[i][1])) >= 0.8 * (n - 4):
+                want.add((len(docs) - 1, i))
+    got = decontaminate.search(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) < len(docs)
+
+
+def test_repeats_of_odd_rows(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "pq")
+    rows = [(5, one), (5, one), (5, two), (2**53 + 1, two), (None, f"x y {one} z"), (None, two), (7, None), (8, ""), (9, f"{two} {two}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as a", "2 as p", "3 as lo")
+    got = Counter((r.doc_id, r.text, r.gone) for r in substrings.cleaned(df).withColumnRenamed("__removed", "gone").collect())
+    assert got == Counter({(5, one, 0): 2, (5, two, 0): 1, (2**53 + 1, "", 60): 1, (None, "x y z", 60): 1, (None, "", 60): 1, (7, None, 0): 1, (8, "", 0): 1, (9, "", 120): 1})
+    assert substrings.cleaned(df).columns == [*df.columns, "__words", "__removed"] and substrings.cleaned(df.limit(0)).count() == 0
+
+
 def closed(ids, like):
     """Class by id: the smallest id that pairs for which `like` holds lead to."""
     cls = {i: i for i in ids}
