@@ -1,4 +1,5 @@
 """Similarities of pairs in [0, 1]; two empty sides are alike, one empty side is not, unless said otherwise."""
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -33,61 +34,174 @@ def exact(a, b):
     return ((a != "") & (a == b)).cast("double")
 
 
-def _lcs(a: str, b: str) -> int:
-    """Longest common subsequence, a row of the table in the bits of one integer."""
-    where: dict[str, int] = {}
-    for i, c in enumerate(a):
-        where[c] = where.get(c, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    s = full
-    for c in b:
-        m = s & where.get(c, 0)
-        s = ((s + m) | (s - m)) & full
-    return len(a) - s.bit_count()
-
-
-def indel(a: str, b: str) -> float:
-    if not a or not b:
-        return float(a == b)
-    return 1.0 if a == b else 2 * _lcs(a, b) / (len(a) + len(b))
-
-
-def sorted_tokens(a: str, b: str) -> float:
-    return indel(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
-
-
-def token_sets(a: str, b: str) -> float:
-    if not a or not b:
-        return float(a == b)
-    x, y = set(a.split()), set(b.split())
-    both = " ".join(sorted(x & y))
-    only = [" ".join(sorted(d)) for d in (x - y, y - x)]
-    if both and not all(only):
-        return 1.0
-    left, right = (f"{both} {d}".strip() for d in only)
-    return max([indel(left, right)] + ([indel(both, left), indel(both, right)] if both else []))
-
-
-def partial(a: str, b: str) -> float:
-    """Best ratio of the shorter text with a window of the longer, windows cut at the ends included."""
-    if not a or not b:
-        return float(a == b)
-
-    def best(s, t):
-        n = len(s)
-        return max(indel(s, t[max(0, i):i + n]) for i in range(1 - n, len(t)) if t[max(0, i):i + n])
-
-    if len(a) == len(b):
-        return max(best(a, b), best(b, a))
-    return best(*sorted((a, b), key=len))
-
-
-def _udf(f):
+def _codes(texts: list[str]) -> np.ndarray:
+    """Code points by row, 0 beyond the end."""
+    n = max(map(len, texts), default=0)
+    return np.array(texts, dtype=f"<U{max(n, 1)}").view(np.uint32).reshape(len(texts), -1)
+
+
+def _masks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each place of b, the places of a that hold the same character, as bits of 64-bit words: word, place of b, row."""
+    p, n = a.shape
+    words = -(-n // 64)
+    out = np.empty((words, b.shape[1], p), dtype=np.uint64)
+    bit = np.uint64(1) << np.arange(64, dtype=np.uint64)
+    for w in range(words):
+        part = a[:, 64 * w:64 * w + 64]
+        same = (part[:, :, None] == b[:, None, :]) & (part != 0)[:, :, None]
+        out[w] = (same * bit[:part.shape[1], None]).sum(axis=1, dtype=np.uint64).T
+    return out
+
+
+def _step(s: list[np.ndarray], m) -> None:
+    """One character of the other text: the row of the subsequence table in the bits of s, word by word with carry."""
+    carry = np.uint64(0)
+    for w, x in enumerate(s):
+        u = x & m[w]
+        total = x + u
+        over = total < x
+        total += carry
+        carry = (over | (total < carry)).astype(np.uint64)
+        s[w] = total | (x - u)
+
+
+def _length(s: list[np.ndarray]) -> np.ndarray:
+    return sum(np.bitwise_count(~x).astype(np.int64) for x in s)
+
+
+def lcs(a: list[str], b: list[str], rows: int = 512) -> np.ndarray:
+    """Lengths of the longest common subsequences of pairs of texts, many pairs at once."""
+    out = np.zeros(len(a), dtype=np.int64)
+    order = np.argsort([len(x) for x in b], kind="stable")[::-1]
+    with np.errstate(over="ignore"):
+        for at in range(0, len(a), rows):
+            pick = order[at:at + rows]
+            m = _masks(_codes([a[i] for i in pick]), _codes([b[i] for i in pick]))
+            s = [np.full(len(pick), ~np.uint64(0)) for _ in m]
+            for j in range(m.shape[1]):
+                _step(s, m[:, j])
+            out[pick] = _length(s)
+    return out
+
+
+def _best_window(short: list[str], long: list[str], rows: int = 64) -> np.ndarray:
+    """Best ratio of each short text with a window of its length in the long one, windows cut at the ends included."""
+    out = np.zeros(len(short))
+    order = np.argsort([len(x) for x in short], kind="stable")[::-1]
+    with np.errstate(over="ignore"):
+        for at in range(0, len(short), rows):
+            pick = order[at:at + rows]
+            a, b = [short[i] for i in pick], [long[i] for i in pick]
+            n, size = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+            top, width = int(n[0]), int(size.max())
+            m = _masks(_codes(a), _codes(b))
+            # windows begin at 1 - n and after; before the text and beyond it nothing matches
+            padded = np.zeros((len(m), width + 2 * top, len(pick)), dtype=np.uint64)
+            padded[:, top:top + width] = m
+            s = [np.full((width + top - 1, len(pick)), ~np.uint64(0)) for _ in m]
+            for k in range(top):
+                live = int((n > k).sum())  # texts stand by falling length
+                part = [x[:, :live] for x in s]
+                _step(part, padded[:, k + 1:k + width + top, :live])
+                for x, y in zip(s, part):
+                    x[:, :live] = y
+            # a text shorter than the longest has its window k characters earlier than counted here
+            begin = np.arange(1 - top, width)[:, None]
+            length = np.minimum(begin + n, size) - np.maximum(begin, 0)
+            found = _length(s)
+            out[pick] = np.where(length > 0, 2 * found / np.maximum(n + length, 1), 0.0).max(axis=0)
+    return out
+
+
+def _known(a: list[str], b: list[str]) -> np.ndarray:
+    """1 for equal texts, 0 where one is empty, NaN where it takes a look."""
+    return np.array([1.0 if x == y else 0.0 if not x or not y else np.nan for x, y in zip(a, b)], dtype=float)
+
+
+def indel(a: list[str], b: list[str]) -> np.ndarray:
+    """2 x common subsequence / both lengths."""
+    out = _known(a, b)
+    at = np.flatnonzero(np.isnan(out))
+    if len(at):
+        x, y = [a[i] for i in at], [b[i] for i in at]
+        out[at] = 2 * lcs(x, y) / np.array([len(p) + len(q) for p, q in zip(x, y)])
+    return out
+
+
+def _in_order(t: str) -> str:
+    return " ".join(sorted(t.split()))
+
+
+def sorted_tokens(a: list[str], b: list[str]) -> np.ndarray:
+    return indel([_in_order(x) for x in a], [_in_order(x) for x in b])
+
+
+def token_sets(a: list[str], b: list[str]) -> np.ndarray:
+    """Best ratio among common tokens, and these with what only one side has."""
+    out = _known(a, b)
+    left, right, row = [], [], []
+    for i in np.flatnonzero(np.isnan(out)):
+        x, y = set(a[i].split()), set(b[i].split())
+        both = " ".join(sorted(x & y))
+        only = [" ".join(sorted(d)) for d in (x - y, y - x)]
+        if both and not all(only):
+            out[i] = 1.0
+            continue
+        p, q = (f"{both} {d}".strip() for d in only)
+        for u, v in [(p, q)] + [(both, p), (both, q)] * bool(both):
+            left.append(u)
+            right.append(v)
+            row.append(i)
+    if row:
+        out[np.isnan(out)] = 0.0
+        np.maximum.at(out, row, indel(left, right))
+    return out
+
+
+def partial(a: list[str], b: list[str]) -> np.ndarray:
+    """Best ratio of the shorter text with a window of the longer; of texts of one length, each with windows of the other."""
+    out = _known(a, b)
+    at = np.flatnonzero(np.isnan(out))
+    if len(at):
+        sides = [sorted((a[i], b[i]), key=len) for i in at]
+        out[at] = _best_window([x for x, _ in sides], [y for _, y in sides])
+        even = [k for k, (x, y) in enumerate(sides) if len(x) == len(y)]
+        if even:
+            np.maximum.at(out, at[even], _best_window([sides[k][1] for k in even], [sides[k][0] for k in even]))
+    return out
+
+
+RATIOS = {"ratio": indel, "token_set_ratio": token_sets, "token_sort_ratio": sorted_tokens, "partial_ratio": partial}
+
+
+def ratios(a, b, names=tuple(RATIOS)):
+    """A struct of ratios of two text columns, all from one pass; texts that repeat in a batch are compared once."""
+    @F.pandas_udf(", ".join(f"{n} double" for n in names))
+    def run(x: pd.Series, y: pd.Series) -> pd.DataFrame:
+        pairs = pd.DataFrame({"x": x.fillna(""), "y": y.fillna("")})
+        some = pairs.drop_duplicates()
+        p, q = some["x"].tolist(), some["y"].tolist()
+        return pairs.merge(some.assign(**{n: RATIOS[n](p, q) for n in names}), on=["x", "y"], how="left")[list(names)]
+
+    return run(a, b)
+
+
+def _one(name):
+    return lambda a, b: ratios(a, b, (name,))[name]
+
+
+ratio, token_set_ratio, token_sort_ratio, partial_ratio = map(_one, RATIOS)
+
+
+def sparse_dot(grams_a, weights_a, grams_b, weights_b):
+    """Dot products of sparse vectors, each two arrays: rising grams and their weights."""
     @F.pandas_udf(DoubleType())
-    def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([f(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
-
-    return run
-
-
-ratio, token_sort_ratio, token_set_ratio, partial_ratio = (_udf(f) for f in (indel, sorted_tokens, token_sets, partial))
+    def run(ga: pd.Series, wa: pd.Series, gb: pd.Series, wb: pd.Series) -> pd.Series:
+        out = np.zeros(len(ga))
+        for i, (p, u, q, v) in enumerate(zip(ga, wa, gb, wb)):
+            if p is not None and q is not None and len(p) and len(q):
+                at = np.minimum(np.searchsorted(q, p), len(q) - 1)
+                out[i] = (u * v[at])[q[at] == p].sum()
+        return pd.Series(out)
+
+    return run(grams_a, weights_a, grams_b, weights_b)

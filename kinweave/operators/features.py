@@ -3,6 +3,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import similarity as sim
+from .records import ID1, ID2, as_text, failing
 
 _PER_FIELD = ("exact", "ratio", "token_set_ratio", "token_sort_ratio", "jaccard", "overlap", "char_ngram_jaccard", "tfidf_cosine")
 BASELINE = tuple(f"{f}_{x}" for f in ("name", "address") for x in _PER_FIELD) + ("country_exact", "country_nonempty_both", "name_length_ratio", "address_length_ratio")
@@ -14,17 +15,51 @@ GROUPS = {
 }
 
 
-def feature_set(spec: str) -> tuple:
-    """`all`, `baseline`, or `baseline_plus_` and groups joined by `_`; `cross` is short for cross_field."""
-    if spec == "all":
-        return BASELINE + tuple(x for g in GROUPS.values() for x in g)
-    if spec == "baseline":
-        return BASELINE
-    names = spec.removeprefix("baseline_plus_").replace("cross_field", "cross").split("_")
-    groups = ["cross_field" if n == "cross" else n for n in names]
-    if not spec.startswith("baseline_plus_") or len(set(groups)) < len(groups) or any(g not in GROUPS for g in groups):
+ABLATION_SETS = ("baseline", "baseline_plus_name", "baseline_plus_address", "baseline_plus_country", "baseline_plus_cross_field", "baseline_plus_name_address_cross")
+ROBUSTNESS_SETS = ("baseline", "baseline_plus_address", "baseline_plus_cross_field", "baseline_plus_address_cross_field", "baseline_plus_name_address_cross")
+
+
+def unique_ordered(names) -> tuple[str, ...]:
+    """Names in their order; none or repeated ones are an error."""
+    out = tuple(str(n) for n in names)
+    if not out:
+        raise ValueError("a feature set cannot be empty")
+    if len(set(out)) < len(out):
+        raise ValueError("a feature set has duplicate names")
+    return out
+
+
+def feature_set(spec, available=None) -> tuple[str, ...]:
+    """Feature names of `all`, `baseline`, a group, `baseline_plus_` and groups joined by `_`, or an explicit list; `cross` is short for cross_field."""
+    known = BASELINE + tuple(x for g in GROUPS.values() for x in g)
+    available = known if available is None else tuple(available)
+    if not isinstance(spec, str):
+        names = unique_ordered(spec)
+    elif spec in ("all", "baseline") or spec in GROUPS:
+        names = {"all": available, "baseline": BASELINE, **GROUPS}[spec]
+    elif spec.startswith("baseline_plus_"):
+        groups = spec.removeprefix("baseline_plus_").replace("cross_field", "cross").split("_")
+        groups = ["cross_field" if g == "cross" else g for g in groups]
+        if any(g not in GROUPS for g in groups):
+            raise ValueError(f"unknown feature groups in {spec}")
+        names = BASELINE + tuple(x for g in groups for x in GROUPS[g])
+    else:
         raise ValueError(f"unknown feature set: {spec}")
-    return BASELINE + tuple(x for g in groups for x in GROUPS[g])
+    names = unique_ordered(names)
+    if set(names) - set(available):
+        raise ValueError(f"unknown feature names: {sorted(set(names) - set(available))}")
+    return names
+
+
+def chosen_sets(names: str | None = None, robustness: bool = False) -> dict[str, tuple[str, ...]]:
+    """Feature sets of a comma-separated list, else those of the robustness or the ablation run."""
+    if names:
+        picked = [n.strip() for n in names.split(",") if n.strip()]
+        if not picked:
+            raise ValueError("name at least one feature set")
+    else:
+        picked = ROBUSTNESS_SETS if robustness else ABLATION_SETS
+    return {n: feature_set(n) for n in picked}
 
 
 def tfidf(records: DataFrame, column: str, low: int = 3, high: int = 5) -> DataFrame:
@@ -42,33 +77,68 @@ def tfidf(records: DataFrame, column: str, low: int = 3, high: int = 5) -> DataF
     return raw.join(norm, "entity_id").select("entity_id", "gram", (F.col("w") / F.col("norm")).alias("weight"))
 
 
-def cosine(pairs: DataFrame, weights: DataFrame, name: str) -> DataFrame:
-    """(s, c, name): dot products of pairs that share a gram."""
-    a = weights.select(F.col("entity_id").alias("s"), "gram", F.col("weight").alias("wa"))
-    b = weights.select(F.col("entity_id").alias("c"), "gram", F.col("weight").alias("wb"))
-    return pairs.select("s", "c").distinct().join(a, "s").join(b, ["c", "gram"]).groupBy("s", "c").agg(F.sum(F.col("wa") * F.col("wb")).alias(name))
+def vectors(records: DataFrame, column: str, low: int = 3, high: int = 5) -> DataFrame:
+    """(entity_id, grams, weights): the rows of `tfidf` as two arrays a record, by rising hash of the gram.
+
+    So pairs meet two arrays, and no row for each pair and gram is made.
+    """
+    one = F.struct(F.xxhash64("gram").alias("g"), "weight")
+    rows = tfidf(records, column, low, high).groupBy("entity_id").agg(F.sort_array(F.collect_list(one)).alias("v"))
+    return rows.select("entity_id", F.col("v.g").alias("grams"), F.col("v.weight").alias("weights"))
+
+
+def with_record(pairs: DataFrame, records: DataFrame, key: str, prefix: str, columns, namespace: str) -> DataFrame:
+    """Pairs with columns of the record that key names, under prefix; ids that are unknown or outside the namespace fail when rows are read."""
+    mine = records.select(F.col("entity_id").alias("__id"), *[F.col(c).alias(prefix + c) for c in columns])
+    out = pairs.join(mine, F.col(key) == F.col("__id"), "left")
+    bad = F.when(~F.col(key).rlike(namespace), F.concat(F.lit("id outside its namespace: "), key)).when(F.col("__id").isNull(), F.concat(F.lit("unknown id: "), key))
+    return out.withColumn(key, failing(bad, F.col(key))).drop("__id")
 
 
 def pair_features(pairs: DataFrame, s1: DataFrame, cand: DataFrame, names=BASELINE) -> DataFrame:
-    """Features of pairs (source1_entity_id, candidate_entity_id) in the order of names."""
-    p = pairs.select(F.col("source1_entity_id").alias("s"), F.col("candidate_entity_id").alias("c"))
-    cols = ("name_norm", "address_norm", "country_norm", "name_tokens", "address_tokens", "name_char_ngrams", "address_char_ngrams")
-    out = p.join(s1.select(F.col("entity_id").alias("s"), *[F.col(x).alias("a_" + x) for x in cols]), "s").join(cand.select(F.col("entity_id").alias("c"), *[F.col(x).alias("b_" + x) for x in cols]), "c")
-    records = s1.select("entity_id", "name_norm", "address_norm").unionByName(cand.select("entity_id", "name_norm", "address_norm"))
-    for f in ("name", "address"):
-        out = out.join(cosine(p, tfidf(records, f"{f}_norm"), f"{f}_tfidf_cosine"), ["s", "c"], "left").fillna(0.0, [f"{f}_tfidf_cosine"])
+    """Ids, sources and the features `names`, in their order, of pairs (source1_entity_id, candidate_entity_id).
+
+    Repeated pairs give repeated rows, no pairs give none. Pairs with an id that
+    no record has, or that is outside S1, or S2 and S3, fail. TF-IDF is fitted on
+    all records given; where none has three characters, the ratio stands in for its cosine.
+    """
+    names, need = tuple(names), set(names)
+    for product, parts in {"name_address_ratio_product": "ratio", "name_address_ratio_min": "ratio", "name_address_both_high": "ratio", "name_address_tfidf_product": "tfidf_cosine"}.items():
+        if product in need:
+            need |= {f"name_{parts}", f"address_{parts}"}
+    sides, plain = {"a_": s1, "b_": cand}, {f: [] for f in ("name", "address")}
+    columns = [c for f in ("name", "address") for c in (f"{f}_norm", f"{f}_tokens", f"{f}_char_ngrams")] + ["country_norm"]
+    for f in plain:
+        if f"{f}_tfidf_cosine" in need:
+            records = s1.select("entity_id", f"{f}_norm").unionByName(cand.select("entity_id", f"{f}_norm"))
+            if records.where(F.length(f"{f}_norm") >= 3).isEmpty():
+                plain[f].append("tfidf_cosine")
+                continue
+            v = vectors(records, f"{f}_norm").select(F.col("entity_id").alias("__v"), F.col("grams").alias(f"{f}_grams"), F.col("weights").alias(f"{f}_weights"))
+            columns += [f"{f}_grams", f"{f}_weights"]
+            sides = {k: r.join(v, F.col("entity_id") == F.col("__v"), "left").drop("__v") for k, r in sides.items()}
+    out = pairs.select(as_text(F.col(ID1)).alias(ID1), as_text(F.col(ID2)).alias(ID2))
+    out = with_record(with_record(out, sides["a_"], ID1, "a_", columns, "^S1-"), sides["b_"], ID2, "b_", columns, "^S[23]-")
     made = {}
-    for f in ("name", "address"):
+    for f in plain:
         a, b, x, y = F.col(f"a_{f}_norm"), F.col(f"b_{f}_norm"), F.col(f"a_{f}_tokens"), F.col(f"b_{f}_tokens")
-        made |= {f"{f}_exact": sim.exact(a, b), f"{f}_ratio": sim.ratio(a, b), f"{f}_token_set_ratio": sim.token_set_ratio(a, b), f"{f}_token_sort_ratio": sim.token_sort_ratio(a, b), f"{f}_jaccard": sim.jaccard(x, y), f"{f}_overlap": sim.overlap(x, y), f"{f}_char_ngram_jaccard": sim.jaccard(F.col(f"a_{f}_char_ngrams"), F.col(f"b_{f}_char_ngrams")), f"{f}_length_ratio": sim.length_ratio(a, b), f"{f}_partial_ratio": sim.partial_ratio(a, b), f"{f}_token_containment_s1": sim.containment(x, y), f"{f}_token_containment_candidate": sim.containment(y, x), f"{f}_numeric_jaccard": sim.jaccard(sim.numeric_tokens(x), sim.numeric_tokens(y)), f"{f}_numeric_overlap": sim.overlap(sim.numeric_tokens(x), sim.numeric_tokens(y))}
+        made |= {f"{f}_exact": sim.exact(a, b), f"{f}_jaccard": sim.jaccard(x, y), f"{f}_overlap": sim.overlap(x, y), f"{f}_char_ngram_jaccard": sim.jaccard(F.col(f"a_{f}_char_ngrams"), F.col(f"b_{f}_char_ngrams")), f"{f}_length_ratio": sim.length_ratio(a, b), f"{f}_token_containment_s1": sim.containment(x, y), f"{f}_token_containment_candidate": sim.containment(y, x), f"{f}_numeric_jaccard": sim.jaccard(sim.numeric_tokens(x), sim.numeric_tokens(y)), f"{f}_numeric_overlap": sim.overlap(sim.numeric_tokens(x), sim.numeric_tokens(y))}
+        wanted = tuple(r for r in sim.RATIOS if f"{f}_{r}" in need or r == "ratio" and plain[f])
+        if wanted:
+            out = out.withColumn(f"__{f}", sim.ratios(a, b, wanted))
+            made |= {f"{f}_{r}": F.col(f"__{f}")[r] for r in wanted}
+        made[f"{f}_tfidf_cosine"] = F.col(f"__{f}")["ratio"] if plain[f] else sim.sparse_dot(*[F.col(f"{k}_{f}_{v}") for k in "ab" for v in ("grams", "weights")]) if f"{f}_tfidf_cosine" in need else F.lit(None)
     a, b = F.col("a_country_norm"), F.col("b_country_norm")
     made |= {"country_exact": sim.exact(a, b), "country_nonempty_both": ((a != "") & (b != "")).cast("double"), "country_missing_either": ((a == "") | (b == "")).cast("double"), "country_both_missing": ((a == "") & (b == "")).cast("double")}
-    cross = set(GROUPS["cross_field"]) & set(names)
-    out = out.withColumns({k: v for k, v in made.items() if k in names or cross and k in ("name_ratio", "address_ratio")})
-    if cross:
-        x, y = F.col("name_ratio"), F.col("address_ratio")
-        out = out.withColumns({"name_address_ratio_product": x * y, "name_address_tfidf_product": F.col("name_tfidf_cosine") * F.col("address_tfidf_cosine"), "name_address_ratio_min": F.least(x, y), "name_address_both_high": ((x >= 0.8) & (y >= 0.8)).cast("double")})
-    return out.select(F.col("s").alias("source1_entity_id"), F.col("c").alias("candidate_entity_id"), *names)
+    out = out.withColumns({k: v for k, v in made.items() if k in need})
+    if need & set(GROUPS["cross_field"]):
+        of = lambda x: (F.col(f"name_{x}"), F.col(f"address_{x}"))
+        x, y = of("ratio")
+        u, v = of("tfidf_cosine")
+        cross = {"name_address_ratio_product": x * y, "name_address_tfidf_product": u * v, "name_address_ratio_min": F.least(x, y), "name_address_both_high": ((x >= 0.8) & (y >= 0.8)).cast("double")}
+        out = out.withColumns({k: c for k, c in cross.items() if k in need})
+    source = lambda c: F.regexp_extract(c, "^(S[123])-", 1)
+    return out.select(ID1, ID2, source(ID1).alias("source1_source"), source(ID2).alias("candidate_source"), *names)
 
 
 def with_labels(features: DataFrame, truth: DataFrame) -> DataFrame:
