@@ -36,6 +36,22 @@ def as_batch(columns, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+_KEPT: dict = {}
+
+
+def kept(key, make: Callable):
+    """What make gives, remembered by this worker for later tasks with the same key; a worker remembers one thing."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Free what the worker remembers, where a task needs the memory for its own."""
+    _KEPT.clear()
+
+
 def slices(batches, rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Batches of at most so many rows, so that lists of long texts do not fill a worker's memory."""
     for b in batches:
@@ -46,6 +62,7 @@ def slices(batches, rows: int = 256) -> Iterator[pa.RecordBatch]:
 def per_batch(df: DataFrame, f: Callable, schema: str, rows: int = 256) -> DataFrame:
     """The columns that f gives for each slice of rows; f takes a record batch."""
     def run(batches):
+        release()
         kinds = arrow_schema(schema)
         for b in slices(batches, rows):
             yield as_batch(f(b), kinds)
@@ -53,7 +70,6 @@ def per_batch(df: DataFrame, f: Callable, schema: str, rows: int = 256) -> DataF
     return df.mapInArrow(run, schema)
 
 
-
 def hash_words(words: list[str]) -> np.ndarray:
     """Deterministic 64-bit hashes of words."""
     if not words:

@@ -8,16 +8,17 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import per_batch, table
+from .common import kept, per_batch, slices, table
 
 UNKNOWN = 1e-7
 #: Distinct words that a worker remembers with their likelihoods.
-CACHE = 400_000
+CACHE = 200_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -166,17 +167,6 @@ class Scorer:
         return np.array([self.rows[list(map(at, t))].sum(axis=0) if t else np.zeros(self.k) for t in texts]).reshape(len(texts), self.k)
 
 
-#: The last model's scorer of this worker, by the model's key; later tasks find what it remembers.
-LAST: dict[str, Scorer] = {}
-
-
-def scorer_of(key: str, model, k: int) -> Scorer:
-    if key not in LAST:
-        LAST.clear()
-        LAST[key] = Scorer(model.value, k)
-    return LAST[key]
-
-
 def fit(docs: DataFrame, vocab_path: str, max_rows: int = 2000, rounds: int = 2) -> tuple[list[str], dict[str, tuple]]:
     """Per-language piece probabilities by expectation maximisation.
 
@@ -237,11 +227,7 @@ def predict(docs: DataFrame, langs: list[str], model: dict[str, tuple], keep=("d
     schema = docs.select(*names).schema.add(out[0], "string").add(out[1], "double")
 
     def run(batches):
-        import pyarrow as pa
-
-        from .common import slices
-
-        scorer = scorer_of(key, shared, k) if k else None
+        scorer = kept(key, lambda: Scorer(shared.value, k)) if k else None
         for b in slices(batches):
             texts = [words_of(t) for t in b["text"].to_pylist()]
             got, score = ["und"] * len(texts), [0.0] * len(texts)

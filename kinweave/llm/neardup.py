@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, as_batch, drop, hash_words, mix, ngram_hashes, per_batch, slices, table, written
+from .common import arrow_schema, as_batch, drop, hash_words, mix, ngram_hashes, per_batch, release, slices, table, written
 
 K = 5
 SKETCHES = 32
@@ -202,6 +202,7 @@ def by_group(rows: DataFrame, key: list[str], f, schema: str) -> DataFrame:
     names = rows.columns
 
     def run(batches):
+        release()
         each = (r for b in slices(batches, 1024) for r in zip(*(c.to_pylist() for c in b.columns)))
         at, kinds, out = [names.index(k) for k in key], arrow_schema(schema), []
         for _, group in groupby(each, lambda r: tuple(r[k] for k in at)):

@@ -4,7 +4,6 @@ from __future__ import annotations
 import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, as_batch, slices, table
+from .common import arrow_schema, as_batch, kept, slices, table
 
 TIERS = (1024, 512, 256, 128)
 STEP = 8
@@ -98,12 +97,6 @@ class Encoder:
         return out
 
 
-@lru_cache(1)
-def encoder(path: str) -> Encoder:
-    """A worker's own encoder, which later tasks of the worker find with all it remembers."""
-    return Encoder(path)
-
-
 def pack(lengths: list[int], window: int = TIERS[0], tiers=TIERS) -> list[tuple[int, list[tuple[int, int, int]]]]:
     """(tier, pieces) of sequences from remainders shorter than a window; a piece is item, start in item and length.
 
@@ -166,7 +159,7 @@ def pack_documents(docs: DataFrame, vocab_path: str, window: int = TIERS[0], gro
     kinds, pieces = "g long, doc_id long, start long, length long, crc long, n long, ids binary", arrow_schema(PIECES)
 
     def encode(batches):
-        coder, schema = encoder(vocab_path), arrow_schema(kinds)
+        coder, schema = kept(vocab_path, lambda: Encoder(vocab_path)), arrow_schema(kinds)
         for b in slices(batches):
             out = []
             ids = b["doc_id"].to_pylist()

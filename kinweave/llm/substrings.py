@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import WORD, drop, hash_words, mix, ngram_hashes, slices, table, written
+from .common import WORD, drop, hash_words, mix, ngram_hashes, release, slices, table, written
 
 WINDOW = 20
 SEED = 8
@@ -101,6 +101,7 @@ def spans(rows: DataFrame, f, schema: str) -> DataFrame:
     types = {"long": pa.int64(), "int": pa.int32(), "short": pa.int16()}
 
     def run(batches):
+        release()
         names = ["p", *(t.split()[0] for t in schema.split(", "))]
         for b in slices(batches):
             got = [f(dict(zip(b.schema.names, r))) for r in zip(*(c.to_pylist() for c in b.columns))]
@@ -173,6 +174,7 @@ def cleaned(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     out = docs.select(*cols).schema.add("__words", "long").add("__removed", "long")
 
     def run(batches):
+        release()
         for b in slices(batches):
             texts, n, gone = [], [], []
             for text, runs in zip(b["text"].to_pylist(), b["__runs"].to_pylist()):
