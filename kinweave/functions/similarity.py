@@ -1,6 +1,7 @@
 """Similarities of pairs in [0, 1]; two empty sides are alike, one empty side is not, unless said otherwise."""
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -193,15 +194,31 @@ def _one(name):
 ratio, token_set_ratio, token_sort_ratio, partial_ratio = map(_one, RATIOS)
 
 
+def _lists(column) -> tuple[np.ndarray, np.ndarray]:
+    """All values of an Arrow list column, and the row of each."""
+    size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(column)), size)
+
+
 def sparse_dot(grams_a, weights_a, grams_b, weights_b):
-    """Dot products of sparse vectors, each two arrays: rising grams and their weights."""
-    @F.pandas_udf(DoubleType())
-    def run(ga: pd.Series, wa: pd.Series, gb: pd.Series, wb: pd.Series) -> pd.Series:
+    """Dot products of sparse vectors, each two arrays: distinct grams, which are 64-bit hashes, and their weights."""
+    @F.arrow_udf(DoubleType())
+    def run(ga: pa.Array, wa: pa.Array, gb: pa.Array, wb: pa.Array) -> pa.Array:
         out = np.zeros(len(ga))
-        for i, (p, u, q, v) in enumerate(zip(ga, wa, gb, wb)):
-            if p is not None and q is not None and len(p) and len(q):
-                at = np.minimum(np.searchsorted(q, p), len(q) - 1)
-                out[i] = (u * v[at])[q[at] == p].sum()
-        return pd.Series(out)
+        for at in range(0, len(ga), 512):
+            n = min(512, len(ga) - at)
+            (p, i), (q, j) = _lists(ga.slice(at, n)), _lists(gb.slice(at, n))
+            if not len(p) or not len(q):
+                continue
+            (u, _), (v, _) = _lists(wa.slice(at, n)), _lists(wb.slice(at, n))
+            with np.errstate(over="ignore"):  # one key for row and gram; the hash of a gram is odd in all its bits
+                row = (np.arange(n, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+                p, q = p.view(np.uint64) * (row[i] | np.uint64(1)), q.view(np.uint64) * (row[j] | np.uint64(1))
+            order = np.argsort(q)
+            q = q[order]
+            place = np.minimum(np.searchsorted(q, p), len(q) - 1)
+            hit = q[place] == p
+            out[at:at + n] = np.bincount(i[hit], (u[hit] * v[order[place[hit]]]), n)
+        return pa.array(out)
 
     return run(grams_a, weights_a, grams_b, weights_b)

@@ -114,7 +114,7 @@ def pair_features(pairs: DataFrame, s1: DataFrame, cand: DataFrame, names=BASELI
             if records.where(F.length(f"{f}_norm") >= 3).isEmpty():
                 plain[f].append("tfidf_cosine")
                 continue
-            v = vectors(records, f"{f}_norm").select(F.col("entity_id").alias("__v"), F.col("grams").alias(f"{f}_grams"), F.col("weights").alias(f"{f}_weights"))
+            v = vectors(records, f"{f}_norm").select(F.col("entity_id").alias("__v"), F.col("grams").alias(f"{f}_grams"), F.col("weights").alias(f"{f}_weights")).persist()  # both sides read them
             columns += [f"{f}_grams", f"{f}_weights"]
             sides = {k: r.join(v, F.col("entity_id") == F.col("__v"), "left").drop("__v") for k, r in sides.items()}
     out = pairs.select(as_text(F.col(ID1)).alias(ID1), as_text(F.col(ID2)).alias(ID2))
