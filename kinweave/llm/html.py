@@ -3,6 +3,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from html.parser import HTMLParser
 
 import numpy as np
@@ -17,6 +18,8 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 HIDDEN = set("head title script style noscript template iframe svg object select option textarea button form".split())
 BLOCK = set("address article aside blockquote body dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section table tbody td tfoot th thead tr ul".split())
 TAGS = "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li a nav aside header footer form table td blockquote pre span b i".split()
+#: Cells that attribute words are hashed into, beside the counts of known ones.
+CELLS = 16
 #: Attribute words of boilerplate and of content.
 AWAY = set("ad ads advert advertisement banner breadcrumb comment comments cookie footer header login menu nav navigation newsletter notice pagination popup promo related share sidebar social sponsor widget".split())
 TOWARD = set("article body content entry main post story text".split())
@@ -99,7 +102,11 @@ def features(t: Tree) -> np.ndarray:
     for i in range(1, n):
         away[i] += away[t.up[i]] + out_tag[i]
     one = np.maximum(chars, 1)
-    return np.column_stack([code, np.array(code)[up], away, toward, depth, np.log1p(chars), linked / one, stops / one, chars / (below + 1), below, kids, place, chars / one[up], chars / one[0]])
+    words = np.zeros((n, CELLS))
+    for i, m in enumerate(t.marks):
+        for w in m:
+            words[i, zlib.crc32(w.encode()) % CELLS] += 1
+    return np.column_stack([code, np.array(code)[up], away, toward, depth, np.log1p(chars), linked / one, stops / one, chars / (below + 1), below, kids, place, chars / one[up], chars / one[0], words])
 
 
 def teacher(t: Tree) -> np.ndarray | None:

@@ -4,11 +4,14 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
+from html import unescape
 
 import duckdb
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from kinweave.llm import chat, decontaminate, html, language, licenses, neardup, packing, quality, substrings, urls
@@ -74,9 +77,94 @@ def test_pages_and_conversations_take_odd_and_empty_tables(spark):
     assert chat.fold(log.limit(0)).count() == 0
 
 
+def base_of(text):
+    """Base columns of op1, the slow way."""
+    words = re.split(r"[\x20\x09-\x0D]+", text or "")
+    words = [w for w in words if w]
+    lines = (text or "").split("\n")
+    dup = sum(1 for i, x in enumerate(lines) if x.strip("\x20\t\n\x0b\x0c\r") and x in lines[:i])
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    often = {w for w, n in Counter(windows).items() if n > 1}
+    inside = {i + k for i, w in enumerate(windows) if w in often for k in range(3)}
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(inside)
+
+
 def test_quality_counts_as_brute_force():
     text = "a b c a b c d\nx y\nx y\n\n#$ <|>"
-    assert quality.base_counts(text) == (13, 16, 5, 1, 6)
+    assert quality.base_counts(text) == base_of(text) == (13, 16, 5, 1, 6)
+
+
+def test_quality_as_brute_force(spark, docs):
+    labels = duckdb.sql(f"select doc_id, max(quality) as q from '{SF}/labels.parquet' where doc_id is not null group by doc_id").df()
+    of = dict(zip(labels.doc_id, labels.q))
+    counts = {i: Counter(quality.buckets_of(re.findall(r"[^\x20\x09-\x0D]+", t or "")).tolist()) for i, t in zip(docs.doc_id, docs.text)}
+    base = {i: base_of(t) for i, t in zip(docs.doc_id, docs.text)}
+    failed = {i: v[0] < 50 or 100 * v[4] > 50 * v[0] for i, v in base.items()}
+    raw, good = Counter(), Counter()
+    for i, c in counts.items():
+        raw.update(c)
+        good.update(c if of.get(i) == 1 else {})
+    n, size = (sum(raw.values()), sum(good.values())), quality.BUCKETS
+
+    def mean(c, less_raw=None, less_good=None):
+        a, b = less_raw or Counter(), less_good or Counter()
+        na, nb = n[0] - sum(a.values()), n[1] - sum(b.values())
+        return sum(v * (math.log((good[x] - b[x] + 0.5) / (nb + 0.5 * size)) - math.log((raw[x] - a[x] + 0.5) / (na + 0.5 * size))) for x, v in c.items()) / sum(c.values()) if c else 0.0
+
+    left = {q: [mean(counts[i], counts[i], counts[i] if q else None) for i in counts if of.get(i) == q and counts[i] and not failed[i]] for q in (0, 1)}
+    low, high = (sum(v) / len(v) for v in (left[0], left[1]))
+    spread = (sum(v * v for v in left[1]) / len(left[1]) - high * high) ** 0.5
+    threshold = min(max((low + high) / 2, high - 6 * spread), high)
+    for r in QUERIES["op1_quality"](spark, SF).collect():
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == base[r.doc_id] and r.base_failed == failed[r.doc_id]
+        assert r.llr == pytest.approx(mean(counts[r.doc_id])) and r.kept == (not failed[r.doc_id] and r.llr >= threshold)
+
+
+def test_language_as_brute_force(spark, docs):
+    vocab = language.public_tokenizers.path("piece_bpe_32k.model")
+    langs, model = language.fit(spark.createDataFrame(docs[["doc_id", "lang", "text"]]), vocab)
+    some = docs.sample(12, random_state=1)
+
+    @lru_cache(None)
+    def logs(word):
+        total = []
+        for k in range(len(langs)):
+            a, log = [1.0] + [0.0] * len(word), 0.0
+            for j in range(1, len(word) + 1):
+                a[j] = sum(a[i] * model[word[i:j]][k] for i in range(j) if word[i:j] in model) or a[j - 1] * language.UNKNOWN
+            total.append(math.log(a[-1]))
+        return total
+
+    got = {r.doc_id: r for r in language.predict(spark.createDataFrame(some[["doc_id", "text"]]), langs, model).collect()}
+    for i, text in zip(some.doc_id, some.text):
+        sums = np.sum([logs("▁" + w) for w in re.findall(r"[^\W\d_]+", text.lower())], axis=0)
+        assert got[i].lang_pred == langs[int(np.argmax(sums))] and got[i].score == pytest.approx(1 / np.exp(np.maximum(sums - sums.max(), -700)).sum())
+
+
+def test_odd_rows_of_row_by_row_operators(spark):
+    big = 2**53 + 1
+    rows = [(4, "alpha beta " * 30), (5, "½ ²"), (None, "some text here"), (big, None), (big, ""), (6, "the house and the garden"), (6, "the house and the garden"), (7, LONG)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as lang_pred", "1 as score", "2 as n_words", "3 as labels").coalesce(1)
+    want = Counter(i for i, _ in rows)
+    vocab = language.vocabulary(language.public_tokenizers.path("piece_bpe_32k.model"))
+    model = {p: (0.5 if p.startswith("▁") else 0.1, 0.2) for p in vocab}
+    got = language.predict(df, ["aa", "bb"], model).select("*", language.held_out(F.col("doc_id")).alias("held")).collect()
+    assert Counter(r.doc_id for r in got) == want and [(r.lang_pred, r.score) for r in got if r.doc_id in (5, big)] == [("und", 0.0)] * 3
+    assert {r.doc_id: r.held for r in got} == {i: i is None or zlib.crc32(str(i).encode()) % 5 == 0 for i in want} and all(0 <= r.score <= 1 for r in got)
+    everything = language.predict(df, ["aa", "bb"], model, keep=df.columns, out=("__l", "__s"))
+    assert everything.columns == [*df.columns, "__l", "__s"] and {r.lang_pred for r in everything.collect()} == {"x"}
+    scored = quality.score(df, np.zeros(quality.BUCKETS), 0.0).collect()
+    assert Counter(r.doc_id for r in scored) == want and [(r.n_words, r.base_failed, r.kept) for r in scored if r.doc_id == big] == [(0, True, False)] * 2
+    assert [(r.n_words, r.kept) for r in scored if r.doc_id == 7] == [(5000, True)]
+    found = licenses.scan(df).collect()
+    assert Counter(r.doc_id for r in found) == want and [(r.n_words, r.first_word, r.labels, r.score) for r in found if r.doc_id == big] == [(0, None, "", 0.0)] * 2
+    packed = packing.pack_documents(df, str(packing.public_tokenizers.path("byte_bpe_50k.json"))).collect()
+    assert Counter(r.doc_id for r in packed if r.start == 0) == want and [(r.length, r.doc_tokens) for r in packed if r.doc_id == big] == [(1, 1)] * 2
+    assert sum(r.length for r in packed if r.doc_id == 7) == {r.doc_tokens for r in packed if r.doc_id == 7}.pop()
+    pages = spark.createDataFrame([(big, "http://a.example.com/en/9", "<p>foo<wbr>bar</p>"), (None, None, None), (3, "no scheme", "")], "page_id long, url string, html string").selectExpr("*", "1 as host", "2 as text").coalesce(1)
+    judged = urls.classify(urls.with_rules(pages), {"en": -1.0}).collect()
+    assert {(r.page_id, r.host, r.rule, r.verdict) for r in judged} == {(big, "a.example.com", "com/en/", "block"), (None, "", None, "allow"), (3, "", None, "allow")}
+    assert {(r.page_id, r.text) for r in html.extract(pages, None).collect()} == {(big, "foobar"), (None, ""), (3, "")}
 
 
 def test_language_on_held_out_rows(spark, docs):
@@ -149,6 +237,28 @@ def test_license_places():
     assert got[:4] == (14, 4, 1, 12) and got[4] == "cc-by,gpl,mit" and "gpl-3" in got[5] and len(licenses.rules()) > 200
 
 
+def test_license_base_as_brute_force(spark, docs):
+    for r in QUERIES["op5_licenses"](spark, SF).collect():
+        text = docs.text[docs.doc_id == r.doc_id].iloc[0] or ""
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if c.isascii() else c for c in text))
+        places = [(i, label) for phrase, label in licenses.BASE.items() for i in range(len(words)) if words[i:i + len(phrase.split())] == phrase.split()]
+        base = sorted({x for _, x in places})
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == (len(words), len(places), min(places)[0] if places else None, max(places)[0] if places else None, ",".join(base))
+        assert set(base) <= set(r.labels.split(",")) | {""} and r.labels == ",".join(sorted(set(r.labels.split(",")))) and 0 <= r.score <= 1 and (r.score > 0) == bool(r.labels)
+
+
+def test_licenses_by_priority_and_keyword():
+    of = lambda t: licenses.scan_text(t)[5]
+    assert of("Licensed under the Apache License, Version 2.0 (the License)") == "apache,apache-2.0"
+    assert of("SPDX-License-Identifier: MIT") == "mit" and of("GPLv3") == "gpl-3" and of("emitted licenses of bsdx") == ""
+    assert of("Redistribution and use in source and binary forms, with or without modification") == "bsd"
+    assert of("The Software shall be used for Good, not Evil.") == "json" and of("Creative Commons Attribution-ShareAlike") == "cc-by-sa"
+    spans = licenses.detect(t := "gnu general public license version 3 or later", set(t.split()))
+    assert [x[2] for x in spans] == ["gpl-3-or-later"]  # version 3, and the name alone, lie inside
+    for label, _, key, rx in licenses.rules():
+        assert re.search(rf"(?<![^ |(]){key}(?![^ |)(?:])", rx.pattern.replace("(?:", "(").replace("(?<![^ ])", "").replace("(?![^ ])", "")) or key in rx.pattern, (label, key)
+
+
 def test_chat_same_as_sql(spark):
     db = duckdb.connect()
     db.sql(f"create view conversations as select * from '{SF}/conversations.parquet'")
@@ -253,6 +363,16 @@ def test_a_representative_stays_though_its_id_has_another_text(spark):
     assert sorted(tuple(r) for r in stay) == sorted([rows[0], rows[3]])
 
 
+def article_of(page):
+    """Text of the article element by regular expressions, blocks apart."""
+    inner = re.search(r"(?s)<article[^>]*>(.*?)</article>", page)
+    inner = re.sub(r"(?s)<!--.*?-->|<(script|style|form|aside|nav|footer|button|figure)\b.*?</\1>", "", inner.group(1)) if inner else ""
+    inner = re.sub(r"(?i)<(/?)(b|i|em|strong|a|span|code|wbr|sup|sub|img)\b[^>]*>", "", inner)
+    inner = re.sub(r"(?i)<br[^>]*>", " ", inner)
+    blocks = [" ".join(unescape(x).split()) for x in re.split(r"<[^>]+>", inner)]
+    return "\n\n".join(x for x in blocks if x)
+
+
 def test_html_articles(spark):
     got = QUERIES["op9_html"](spark, SF).toPandas()
     pages = duckdb.sql(f"select * from '{SF}/pages.parquet'").df().set_index("page_id").html
@@ -260,6 +380,36 @@ def test_html_articles(spark):
         assert "track(" not in r.text and "&copy;" not in r.text and r.n_chars == len(r.text)
         h1 = re.search(r"<article><h1>([^<&]*)</h1>", pages[r.page_id])
         assert not h1 or r.text.startswith(" ".join(h1.group(1).split()))
+    same = [r.text == article_of(pages[r.page_id]) for r in got.itertuples()]
+    assert np.mean(same) > 0.95
+
+
+def test_urls_as_brute_force(spark):
+    pages = duckdb.sql(f"select page_id, url from '{SF}/pages.parquet'").df()
+    words = urls.lexicon(language.public_tokenizers.path("word_bpe_49k.json"))
+    rules = [(h, p, v) for v, h, p in urls.RULES]
+    t = urls.Tokens(words, urls.rule_tokens(words))
+    rows = []
+    for i, url in zip(pages.page_id, pages.url):
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        host = re.split("[/?#]", rest)[0]
+        path = re.split("[?#]", rest[len(host):])[0]
+        host = "".join(c.lower() if c.isascii() else c for c in host)
+        fits = [(len(h + p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        rows.append((i, host, path, *(max(fits)[1:] if fits else (None, None)), [zlib.crc32(x.encode()) % urls.BUCKETS for x in t.of(host, path)]))
+    seen = {v: Counter(c for r in rows if r[4] == v for c in r[5]) for v in ("allow", "block")}
+    size = {v: sum(c.values()) + 0.1 * urls.BUCKETS for v, c in seen.items()}
+    got = {r.page_id: r for r in QUERIES["op3_urls"](spark, SF).collect()}
+    for i, host, path, rule, verdict, cells in rows:
+        odds = sum(math.log((seen["block"][c] + 0.1) / size["block"]) - math.log((seen["allow"][c] + 0.1) / size["allow"]) for c in cells)
+        assert (got[i].host, got[i].path, got[i].rule) == (host, path, rule) and got[i].score == pytest.approx(odds, abs=1e-9)
+        assert got[i].verdict == (verdict or ("block" if odds > 1e-12 else "allow"))
+
+
+def test_names_are_segmented():
+    words = {"news": -3.0, "paper": -3.0, "newspaper": -5.0, "new": -3.0, "spa": -4.0, "per": -4.0, "häuser": -3.0}
+    assert urls.segment("newspaperx", words, 9) == ["newspaper", "x"] and urls.segment("newshäuser", words, 9) == ["news", "häuser"]
+    assert "".join(urls.segment("abcnewsq", words, 9)) == "abcnewsq" and urls.segment("", words, 9) == []
 
 
 def test_repeats_as_brute_force(spark, docs):
