@@ -41,9 +41,9 @@ NOTICES = [
     ("mit", 0.8, "warranty", "the software is provided as is without warranty of any kind express or implied"),
     ("mit", 0.8, "copies", "shall be included in all copies or substantial portions of the software"),
     ("x11", 0.9, "consortium", "except as contained in this notice the name of the x consortium shall not be used in advertising"),
-    ("isc", 0.95, "granted", "permission to use copy modify and or distribute this software for any purpose"),
+    ("isc", 0.95, "permission", "permission to use copy modify and or distribute this software for any purpose"),
     ("isc", 0.95, "granted", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted"),
-    ("ntp", 0.9, "granted", "permission to use copy modify and distribute this software and its documentation for any purpose"),
+    ("ntp", 0.9, "permission", "permission to use copy modify and distribute this software and its documentation for any purpose"),
     ("bsd", 0.95, "redistribution", "redistribution and use in source and binary forms with or without modification"),
     ("bsd", 0.8, "redistributions", "redistributions of source code must retain the above copyright notice"),
     ("bsd", 0.8, "redistributions", "redistributions in binary form must reproduce the above copyright notice"),
@@ -83,7 +83,7 @@ NOTICES = [
     ("json", 0.95, "evil", "the software shall be used for good not evil"),
     ("psf", 0.9, "python", "python software foundation license"), ("python-2.0", 0.9, "python", "python license 2 0"),
     ("ruby", 0.9, "ruby", "(?:the )?ruby license"), ("php", 0.9, "php", "(?:the )?php license(?: version)?(?: 3 0(?: 1)?)?"), ("zend", 0.9, "zend", "(?:the )?zend engine license"),
-    ("openssl", 0.95, "openssl", "this product includes (?:software developed by the openssl project|cryptographic software written by eric young)"),
+    ("openssl", 0.95, "openssl", "this product includes software developed by the openssl project"), ("openssl", 0.95, "cryptographic", "this product includes cryptographic software written by eric young"),
     ("openssl", 0.9, "openssl", "(?:the )?openssl license"), ("postgresql", 0.95, "postgresql", "(?:the )?postgresql licen[sc]e"),
     ("curl", 0.9, "curl", "(?:the )?curl license"), ("libpng", 0.9, "libpng", "libpng license"), ("ijg", 0.95, "jpeg", "this software is based in part on the work of the independent jpeg group"),
     ("icu", 0.9, "icu", "icu license"), ("unicode", 0.9, "unicode", "unicode (?:inc )?license agreement(?: data files and software)?"), ("w3c", 0.95, "w3c", "w3c software (?:notice and )?license"),

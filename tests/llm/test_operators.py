@@ -256,7 +256,7 @@ def test_licenses_by_priority_and_keyword():
     spans = licenses.detect(t := "gnu general public license version 3 or later", set(t.split()))
     assert [x[2] for x in spans] == ["gpl-3-or-later"]  # version 3, and the name alone, lie inside
     for label, _, key, rx in licenses.rules():
-        assert re.search(rf"(?<![^ |(]){key}(?![^ |)(?:])", rx.pattern.replace("(?:", "(").replace("(?<![^ ])", "").replace("(?![^ ])", "")) or key in rx.pattern, (label, key)
+        assert re.search(rf"(?<![a-z0-9]){key}(?![a-z0-9])", rx.pattern), (label, key)
 
 
 def test_chat_same_as_sql(spark):
