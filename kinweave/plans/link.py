@@ -2,7 +2,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.normalize import preprocess
+from ..functions.normalize import char_ngrams, preprocess
 from ..operators import blocking, errors, evaluate, features, records, submission
 from ..operators.models import THRESHOLD, BoostedScorer, scores
 from ..operators.records import ID1
@@ -15,9 +15,16 @@ def split_sources(rows: DataFrame):
     return rows.where("source = 'S1'"), rows.where("source in ('S2', 'S3')")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the input comes in fewer splits; large inputs have enough and stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def prepared(raw: DataFrame, ngram_size: int = 3) -> DataFrame:
-    """Normalised records, kept: the Python part of normalisation runs once, whatever reads them."""
-    return preprocess(raw, ngram_size).persist()
+    """Normalised records, kept without n-grams: the Python part of normalisation runs once, whatever reads them."""
+    narrow = preprocess(spread(raw), ngrams=False).drop("name_char_ngrams", "address_char_ngrams").persist()
+    return narrow.withColumns({f"{f}_char_ngrams": char_ngrams(F.col(f"{f}_norm"), ngram_size) for f in ("name", "address")})
 
 
 def preprocess_file(spark, source: str, target: str, ngram_size: int = 3, ngrams: bool = True) -> None:
