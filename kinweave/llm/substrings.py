@@ -44,25 +44,30 @@ def anchors(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 
 def chunks_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors with the hash of all words of their windows, once for each content: a, c, first window, windows."""
+    """Rows (a, c, first window, windows): anchors with the hash of all words of their windows, once for each content, and the text's own repeats.
+
+    Own repeats are windows whose words also start earlier in the same text;
+    their runs have a negative count, and no hashes.
+    """
     a, at, lo, n = anchors(h)
     if not len(a):
         return a, a, lo, n
     with np.errstate(over="ignore"):
         c = mix(span_hashes(h, lo, lo + n + WINDOW - 1) + (at - lo).astype(np.uint64))
-    _, first = np.unique(np.stack([a, c]), axis=1, return_index=True)
-    return a[first], c[first], lo[first], n[first]
+        first = np.unique(mix(a * np.uint64(3) + c), return_index=True)[1]
+    again, size = runs_of(own_repeats(h, a, lo, n))
+    none = np.zeros(len(again), dtype=np.uint64)
+    return np.concatenate([a[first], none]), np.concatenate([c[first], none]), np.concatenate([lo[first], again]), np.concatenate([n[first], -size])
 
 
 def window_hashes(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return span_hashes(h, at, at + WINDOW), span_hashes(h, at, at + WINDOW, 1)
 
 
-def own_repeats(h: np.ndarray) -> np.ndarray:
-    """Windows whose words also start earlier in the same text."""
-    a, _, lo, n = anchors(h)
+def own_repeats(h: np.ndarray, a: np.ndarray, lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Windows whose words also start earlier in the same text, given its anchors."""
     _, inverse, often = np.unique(a, return_inverse=True, return_counts=True)
-    twice = often[inverse] > 1 if len(a) else np.zeros(0, dtype=bool)
+    twice = often[inverse] > 1
     if not twice.any():
         return np.zeros(0, dtype=np.int64)
     at = spread(lo[twice], n[twice])
@@ -71,6 +76,17 @@ def own_repeats(h: np.ndarray) -> np.ndarray:
     return np.delete(at, first)
 
 
+def runs_of(at: np.ndarray, most: int = 30_000) -> tuple[np.ndarray, np.ndarray]:
+    """Runs (first, count) of rising window starts, none longer than `most`."""
+    if not len(at):
+        return at, at
+    first = np.flatnonzero(np.concatenate([[True], np.diff(at) != 1]))
+    lo, n = at[first], np.diff(np.append(first, len(at)))
+    parts = -(-n // most)
+    k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)  # the place of a part in its run
+    return np.repeat(lo, parts) + k * most, np.minimum(np.repeat(n, parts) - k * most, most)
+
+
 def spread(lo, n) -> np.ndarray:
     """All window starts of runs (first, count)."""
     lo, n = np.asarray(lo, dtype=np.int64), np.asarray(n, dtype=np.int64)
@@ -117,7 +133,7 @@ def spans(rows: DataFrame, f, schema: str) -> DataFrame:
 
 
 def repeats(docs: DataFrame, p) -> DataFrame:
-    """(p, runs): runs (first, count) of windows whose words also start in an earlier document; p is the place of documents.
+    """(p, runs): runs (first, count) of windows whose words also start earlier, in the same document or another; p is the place of documents.
 
     Documents meet on winnowed anchors. Around each shared anchor the match is
     extended both ways over the whole stretch of windows that hold it, at once,
@@ -134,7 +150,8 @@ def repeats(docs: DataFrame, p) -> DataFrame:
         a, c, lo, n = chunks_of(hash_words(WORD.findall(r["text"] or "")))
         return a.astype(np.int64), c.astype(np.int64), lo, n
 
-    chunk = written(spans(rows, chunks, "a long, c long, lo int, n short"), "chunks", held)
+    every = written(spans(rows, chunks, "a long, c long, lo int, n short"), "chunks", held)
+    own, chunk = every.where("n < 0").select("p", "lo", (-F.col("n")).cast("short").alias("n")), every.where("n > 0")
     often = written(chunk.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select("a"), "anchors", held)
     shared = written(chunk.join(often, "a", "left_semi"), "shared", held)
     groups = written(shared.groupBy("a", "c").agg(F.min("p").alias("first"), F.count("*").alias("k")), "groups", held)
@@ -153,7 +170,7 @@ def repeats(docs: DataFrame, p) -> DataFrame:
     grown = written(spans(rows.join(runs, "p"), windows, "x long, y long, lo int"), "windows", held)
     first = written(grown.groupBy("x", "y").agg(F.min("p").alias("first"), F.max("p").alias("last")).where("first < last").drop("last"), "first", held)
     later = grown.join(first, ["x", "y"]).where("p > first").select("p", "lo", F.lit(1).cast("short").alias("n"))
-    out = written(equal.union(later).groupBy("p").agg(F.collect_list(F.struct("lo", "n")).alias("runs")), "repeats")
+    out = written(equal.union(later).union(own).groupBy("p").agg(F.collect_list(F.struct("lo", "n")).alias("runs")), "repeats")
     drop(docs.sparkSession, held)
     return out
 
@@ -179,10 +196,7 @@ def cleaned(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
             texts, n, gone = [], [], []
             for text, runs in zip(b["text"].to_pylist(), b["__runs"].to_pylist()):
                 words = WORD.findall(text or "")
-                starts = own_repeats(hash_words(words))
-                if runs is not None:
-                    starts = np.concatenate([starts, spread([r["lo"] for r in runs], [r["n"] for r in runs])])
-                left, k = cut(words, starts) if len(starts) else (words, 0)
+                left, k = cut(words, spread([r["lo"] for r in runs], [r["n"] for r in runs])) if runs else (words, 0)
                 texts.append(" ".join(left) if k else text)
                 n.append(len(words))
                 gone.append(k)

@@ -430,42 +430,32 @@ def test_pipeline(spark):
     assert out.count() > 0 and [s[0] for s in corpus_pipeline.STAGES] == ["language", "neardup", "substrings", "decontaminate", "packing"]
 
 
-def test_short_items_and_odd_rows_are_searched(spark):
-    rows = [(1, "we know that two plus two is four"), (1, "other text under the same id with two plus  TWO."), (2, "what is two, plus two"), (None, "so two plus two"), (3, None), (4, ""), (2**53 + 1, "a b c d e f g h i j k l m n o p q r s t " * 3), (2**53 + 1, "a b c d e f g h i j k l m n o p q r s t " * 3)]
-    items = [(1, "two plus two"), (2, "what is two plus"), (3, "two"), (4, None), (None, "two plus two"), (5, "c d e f g h"), (6, "a b c d e f g h i j k l m n o p q r s x"), (7, "a b c d e x f g h i")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as item_id", "2 as h", "3 as size")
-    items = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 as n")
-    got = decontaminate.search(docs, items).collect()
-    assert sorted((r.doc_id or 0, r.item_id, r.shared, r.size) for r in got) == [(0, 1, 1, 1), (1, 1, 1, 1), (2, 1, 1, 1), (2, 2, 1, 1), (2**53 + 1, 5, 2, 2), (2**53 + 1, 6, 15, 16)]
-    left = decontaminate.without(docs, items)
-    assert sorted((r.doc_id, r.text or "") for r in left.collect()) == [(3, ""), (4, "")] and left.columns == docs.columns
-    assert decontaminate.search(docs.limit(0), items).count() == decontaminate.search(docs, items.limit(0)).count() == 0 and decontaminate.without(docs, items.limit(0)).count() == len(rows)
-
-
-def test_no_item_is_missed_at_the_threshold(spark):
-    rng = random.Random(2)
-    docs, items, want = [], [], set()
-    for i, n in enumerate((5, 9, 14, 24, 40, 90, 200, 700, 1500)):
-        words = [f"w{i}x{k}" for k in range(n)]
-        items.append((i, " ".join(words)))
-        for c in range(3):
-            mine = list(words)
-            for _ in range(rng.randint(0, n // 20)):
-                mine[rng.randrange(n)] = "zz"
-            docs.append((len(docs), " ".join(["before", *mine, "after"])))
-            if len(shingles(docs[-1][1]) & shingles(items[i][1])) >= 0.8 * (n - 4):
-                want.add((len(docs) - 1, i))
-    got = decontaminate.search(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
-    assert {(r.doc_id, r.item_id) for r in got.collect()} == want and len(want) < len(docs)
-
-
-def test_repeats_of_odd_rows(spark):
-    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "pq")
-    rows = [(5, one), (5, one), (5, two), (2**53 + 1, two), (None, f"x y {one} z"), (None, two), (7, None), (8, ""), (9, f"{two} {two}")]
-    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as a", "2 as p", "3 as lo")
-    got = Counter((r.doc_id, r.text, r.gone) for r in substrings.cleaned(df).withColumnRenamed("__removed", "gone").collect())
-    assert got == Counter({(5, one, 0): 2, (5, two, 0): 1, (2**53 + 1, "", 60): 1, (None, "x y z", 60): 1, (None, "", 60): 1, (7, None, 0): 1, (8, "", 0): 1, (9, "", 120): 1})
-    assert substrings.cleaned(df).columns == [*df.columns, "__words", "__removed"] and substrings.cleaned(df.limit(0)).count() == 0
+def test_pipeline_stages_on_odd_rows(spark):
+    """Each stage by itself: null and repeated ids, null, empty and long texts, repeated rows, clashing names, no rows."""
+    rng = random.Random(4)
+    prose = lambda n: " ".join(rng.choice(["house", "garden", "water", "green", "winter", "river", "stone", "letter"]) + rng.choice(["", "s", "ing", "ed"]) + str(rng.choice("abcdefgh")) * rng.randint(0, 2) for _ in range(n))
+    one, two, three, long = prose(60), prose(60), prose(60), prose(3000)
+    big, item = 2**53 + 1, "what is the capital of the largest country"
+    rows = [(1, one), (1, one), (1, two), (7, two), (None, one), (None, None), (3, None), (4, ""), (5, "½ ² 12"), (big, three), (big, long), (9, f"{three} {item} more")]
+    extra = ["'en' as lang", "'a' as source", "0L as n_chars", "1 as __lang_pred0", "2 as h1", "3 as p", "4 as class_id", "5 as g"]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", *extra).coalesce(1)
+    got = lambda stage, d=df: Counter((r.doc_id, r.text) for r in dict(corpus_pipeline.STAGES)[stage](spark, d, SF).collect())
+    has_letters = Counter({k: n for k, n in Counter(rows).items() if k[1] and any(c.isalpha() for c in k[1])})
+    learn = [(1000 + i, prose(30)) for i in range(40)]  # odd rows alone may all be held out
+    more = df.unionByName(spark.createDataFrame(learn, "doc_id long, text string").selectExpr("*", *extra))
+    assert got("language", more) == has_letters + Counter(learn)
+    assert got("neardup") == Counter([(1, one), (1, two), (None, None), (3, None), (4, ""), (5, "½ ² 12"), (big, long), (9, f"{three} {item} more")])  # 9 is near the first text of big
+    cut = got("substrings")
+    assert cut[1, one] == 2 and cut[1, two] == 1 and cut[7, ""] == 1 and cut[None, ""] == 1 and cut[None, None] == cut[3, None] == cut[4, ""] == 1 and cut[big, long] == 1 and sum(cut.values()) == len(rows)
+    assert (big, "") in cut and any(i == 9 and t.endswith("more") and len(t.split()) >= 60 for i, t in cut)
+    items = spark.createDataFrame([(1, item), (2, None)], "item_id long, text string")
+    left = Counter((r.doc_id, r.text) for r in decontaminate.without(df.union(df.where("doc_id = 9").selectExpr("null", "text", *[f"`{c}`" for c in df.columns[2:]])), items).collect())
+    assert left == Counter(r for r in rows if r[0] != 9)
+    pieces = corpus_pipeline.packed(spark, df, SF).collect()
+    assert Counter(r.doc_id for r in pieces if r.start == 0) == Counter(i for i, _ in rows)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, df, SF).columns == df.columns and stage(spark, df.limit(0), SF).count() == 0, name
+    assert corpus_pipeline.packed(spark, df.limit(0), SF).count() == 0
 
 
 def closed(ids, like):
@@ -558,13 +548,6 @@ def test_rare_languages_are_learned(spark):
     assert language.fit(df, vocab, max_rows=3)[0] == ["en", "zz"]
 
 
-def test_pipeline_keeps_one_of_repeated_rows_and_all_of_two_texts_of_one_id(spark):
-    one, two = (" ".join(f"{c}{i}" for i in range(50)) for c in "pq")
-    rows = [(5, one), (5, one), (5, two), (7, two), (8, "other words here")]
-    got = corpus_pipeline.one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string"), None).collect()
-    assert sorted((r.doc_id, r.text) for r in got) == sorted([(5, one), (5, two), (8, "other words here")])
-
-
 def test_near_copies_do_not_join_moved_halves(spark):
     w = [f"w{i}" for i in range(300)]
     rows = [(1, " ".join(w)), (2, " ".join(w[150:] + w[:150])), (3, " ".join([*w[:299], "x"]))]
