@@ -118,10 +118,10 @@ def run_submission(spark, root: str, output: str, scorer=None, threshold: float
 
 
 def write_candidates(pairs: DataFrame, path: str, metadata: bool = False) -> None:
-    """Candidate pairs as TSV, checked; with metadata, their source and rules too."""
+    """Candidate pairs as TSV, checked and sorted; with metadata, their source and rules too."""
     records.require(records.pair_violations(pairs), "candidate pairs")
     more = ("candidate_source", "blocking_rules") if metadata else ()
-    write_tsv(pairs.select(ID1, records.ID2, *more), path)
+    write_tsv(pairs.select(ID1, records.ID2, *more).orderBy(ID1, records.ID2), path)
 
 
 def read_processed(spark, path: str) -> DataFrame:

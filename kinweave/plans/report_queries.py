@@ -408,6 +408,25 @@ def ratio_features(spark, sf_dir):
     return rounded(features.pair_features(default_pairs(s1, c), s1, c, _RATIO_NAMES).select(ID1, ID2, *_RATIO_NAMES), 9)
 
 
+def _sets(col, key):
+    """SQL of token set ratios of a token list for the default candidates, as KEY(s, c, v)."""
+    only = "array_to_string(list_sort(list_distinct(list_filter({0}, lambda t: not list_contains({1}, t)))), ' ')"
+    return f"""{key}0 as materialized (select s, c, a.{col} = b.{col} as same, len(a.{col}) = 0 or len(b.{col}) = 0 as none, array_to_string(list_sort(list_intersect(a.{col}, b.{col})), ' ') as i,
+  {only.format(f'a.{col}', f'b.{col}')} as p, {only.format(f'b.{col}', f'a.{col}')} as q from k join r a on a.id = s join r b on b.id = c),
+{key}1 as materialized (select *, trim(i || ' ' || p) as u, trim(i || ' ' || q) as w, i <> '' and (p = '' or q = '') as part from {key}0),
+{key}x as materialized (select u as a, w as b from {key}1 where not (part or none) union select i, u from {key}1 where i <> '' and not part union select i, w from {key}1 where i <> '' and not part),
+{key}y as materialized (select a, b, {_ratio('a', 'b')} as v from {key}x),
+{key}2 as materialized (select {key}1.*, v as v1 from {key}1 left join {key}y on a = u and b = w), {key}3 as materialized (select {key}2.*, v as v2 from {key}2 left join {key}y on a = i and b = u), {key}4 as materialized (select {key}3.*, v as v3 from {key}3 left join {key}y on a = i and b = w),
+{key} as materialized (select s, c, case when same then 1.0 when none then 0.0 when part then 1.0 else greatest(v1, case when i <> '' then v2 end, case when i <> '' then v3 end) end as v from {key}4)"""
+
+
+@query(f"""{SCORED}, {_sets('nt', 'nv')}, {_sets('adt', 'av')} select s as source1_entity_id, c as candidate_entity_id, round(nv.v, 9) as name_token_set_ratio, round(av.v, 9) as address_token_set_ratio from nv join av using (s, c)""")
+def token_set_features(spark, sf_dir):
+    _, s1, c = all_records(spark, sf_dir)
+    names = ("name_token_set_ratio", "address_token_set_ratio")
+    return rounded(features.pair_features(default_pairs(s1, c), s1, c, names).select(ID1, ID2, *names), 9)
+
+
 # ---- text forms
 
 
