@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import normalize, similarity
+from ..functions import normalize
 from ..operators import blocking, evaluate, features, models, submission
 from .link import prepared
 

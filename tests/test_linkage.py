@@ -37,7 +37,6 @@ def test_same_rows_as_sql(spark, name):
         if got[c].dtype == float or want[c].dtype == float:
             got[c], want[c] = got[c].astype(float).round(6), want[c].astype(float).round(6)
     assert rows(got) == rows(want)
-    spark.catalog.clearCache()
 
 
 # ---- text
@@ -377,13 +376,13 @@ def test_experiments(spark):
     pairs = Q["rule_name_token_overlap_2"](spark, SF).groupBy(ID1).agg({ID2: "min"}).toDF(ID1, "matched_entity_ids")
     truth = s1.selectExpr(f"entity_id as {ID1}").join(pairs, ID1, "left").fillna("").persist()
     names = ("name_jaccard", "address_jaccard", "country_exact", "name_exact", "address_exact")
-    rows_, reports = experiments.run_experiment(s1, c, truth, names, ("strict_overlap_2",))
+    rows_, reports = experiments.run_experiment(s1, c, truth, names, ("strict_overlap_2",), models.BestOf)
     one = rows_[0]
     assert len(one) == 33 and one["false_negative_links"] == one["blocked_out_validation_links"] + one["model_fn_among_candidates"] and one["feature_rows"] == one["candidates"]
     assert {(x.stage, x.configuration) for x in reports.select("stage", "configuration").distinct().collect()} == {("development", "strict_overlap_2"), ("validation", "strict_overlap_2")}
-    out = experiments.run_ablation(s1, c, truth, {"baseline": names[:2], "baseline_plus_address": names}, (1, 2))
-    assert out["per_seed"].count() == 4 and {x.seeds for x in out["aggregate"].collect()} == {2}
-    assert errors.paired_differences(out["per_seed"]).count() == 2
+    out = experiments.run_ablation(s1, c, truth, {"baseline": names[:2], "baseline_plus_address": names}, (2,), models.BestOf)
+    assert out["per_seed"].count() == 2 and {x.seeds for x in out["aggregate"].collect()} == {1}
+    assert errors.paired_differences(out["per_seed"]).count() == 1
     lost = experiments.error_artifact(out, r, seed=2)
     assert {"error_type", "s1_name_norm", "feature_set"} <= set(lost.columns) and lost.where("seed <> 2").isEmpty()
     with pytest.raises(ValueError):
