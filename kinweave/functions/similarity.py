@@ -194,31 +194,109 @@ def _one(name):
 ratio, token_set_ratio, token_sort_ratio, partial_ratio = map(_one, RATIOS)
 
 
-def _lists(column) -> tuple[np.ndarray, np.ndarray]:
-    """All values of an Arrow list column, and the row of each."""
-    size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    return column.flatten().to_numpy(zero_copy_only=False), np.repeat(np.arange(len(column)), size)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+def grams(texts: list[str], low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all character grams, repeats kept, and the text of each; those of one text stand together."""
+    size = np.array([len(t) for t in texts], dtype=np.int64)
+    h0 = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64) + np.uint64(1)
+    row = np.repeat(np.arange(len(texts)), size)
+    left = np.cumsum(size)[row] - np.arange(len(row))  # characters from here to the end of the text
+    fits = [left[:max(0, len(row) - n + 1)] >= n for n in range(low, high + 1)]
+    count = np.maximum(size[:, None] - np.arange(low, high + 1) + 1, 0)
+    first = (np.cumsum(count).reshape(count.shape) - count) if count.size else count
+    out, h = np.empty(int(count.sum()), dtype=np.uint64), np.zeros(len(h0), dtype=np.uint64)
+    place = np.arange(len(row)) - (np.cumsum(size) - size)[row]  # of a character in its text
+    with np.errstate(over="ignore"):
+        for n in range(1, high + 1):
+            h = (h[:max(0, len(h0) - n + 1)] + h0[n - 1:]) * _MIX
+            if n >= low:
+                ok = fits[n - low]
+                out[(first[:, n - low][row[:len(ok)]] + place[:len(ok)])[ok]] = h[ok]
+    return out, np.repeat(np.arange(len(texts)), count.sum(axis=1))
+
+
+def counted(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (hash, row), by row, and how often each occurs."""
+    order = np.lexsort((h, row))
+    h, row = h[order], row[order]
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = (h[1:] != h[:-1]) | (row[1:] != row[:-1])
+    at = np.flatnonzero(new)
+    return h[at], row[at], np.diff(np.append(at, len(h)))
+
+
+class Idf:
+    """Weights of grams by hash: ln((1 + N) / (1 + df)) + 1; grams not listed are held by one record."""
+
+    def __init__(self, total: int, h: np.ndarray, df: np.ndarray, low: int, high: int):
+        order = np.argsort(h)
+        self.h, self.w = h[order], np.log((1 + total) / (1 + df[order])) + 1
+        self.rare, self.low, self.high = float(np.log((1 + total) / 2) + 1), low, high
+
+    def vectors(self, texts: list[str]):
+        """Distinct grams of texts, the text of each, how often it occurs there, and its weight."""
+        h, row, tf = counted(*grams(texts, self.low, self.high))
+        w = np.full(len(h), self.rare)
+        if len(self.h):
+            at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+            w = np.where(self.h[at] == h, self.w[at], self.rare)
+        return h, row, tf, w
+
+
+def tfidf_norm(text, idf):
+    """Length of the vector of TF-IDF weights of a text; idf is a broadcast Idf."""
+    @F.arrow_udf(DoubleType())
+    def run(text: pa.Array) -> pa.Array:
+        out = [np.zeros(0)]
+        for at in range(0, len(text), 1000):
+            some = text.slice(at, 1000).fill_null("").to_pylist()
+            _, row, tf, w = idf.value.vectors(some)
+            out.append(np.sqrt(np.bincount(row, (tf * w) ** 2, len(some))))
+        return pa.array(np.concatenate(out))
+
+    return run(text)
+
+
+def _dots(few: list[str], many: list[str], i: np.ndarray, j: np.ndarray, idf: Idf) -> np.ndarray:
+    """Dot products of TF-IDF vectors of few[i] and many[j]; each of few is looked up by all its partners at once."""
+    h, row, tf, w = idf.vectors(few)
+    v, start = tf * w * w, np.searchsorted(row, np.arange(len(few) + 1))
+    g, of = grams(many, idf.low, idf.high)
+    size, begin = np.bincount(of, minlength=len(many)), np.searchsorted(of, np.arange(len(many)))
+    order = np.argsort(i, kind="stable")
+    edge = np.searchsorted(i[order], np.arange(len(few) + 1))
+    out, table, shift = np.zeros(len(i)), np.zeros(1 << 16, dtype=np.int32), np.uint64(48)
+    for k in range(len(few)):
+        for part in range(edge[k], edge[k + 1], 256):
+            rows = order[part:min(part + 256, edge[k + 1])]
+            n = size[j[rows]]
+            end = np.cumsum(n)
+            theirs = g[np.repeat(begin[j[rows]] - end + n, n) + np.arange(end[-1])]
+            slot, mine, value = (theirs >> shift).astype(np.int64), h[start[k]:start[k + 1]], v[start[k]:start[k + 1]]
+            while len(mine):  # grams that share a slot take a round each
+                own, number = (mine >> shift).astype(np.int64), np.arange(1, len(mine) + 1, dtype=np.int32)
+                table[own] = number
+                at = table[slot]
+                hit = np.flatnonzero(at)
+                hit = hit[mine[at[hit] - 1] == theirs[hit]]
+                out[rows] += np.bincount(np.searchsorted(end, hit, side="right"), value[at[hit] - 1], len(rows))
+                lost = table[own] != number
+                table[own] = 0
+                mine, value = mine[lost], value[lost]
+    return out
 
 
-def sparse_dot(grams_a, weights_a, grams_b, weights_b):
-    """Dot products of sparse vectors, each two arrays: distinct grams, which are 64-bit hashes, and their weights."""
+def tfidf_cosine(a, norm_a, b, norm_b, idf):
+    """Cosines of TF-IDF vectors of two text columns, made of the texts where they meet; the norms are those of `tfidf_norm`."""
     @F.arrow_udf(DoubleType())
-    def run(ga: pa.Array, wa: pa.Array, gb: pa.Array, wb: pa.Array) -> pa.Array:
-        out = np.zeros(len(ga))
-        for at in range(0, len(ga), 512):
-            n = min(512, len(ga) - at)
-            (p, i), (q, j) = _lists(ga.slice(at, n)), _lists(gb.slice(at, n))
-            if not len(p) or not len(q):
-                continue
-            (u, _), (v, _) = _lists(wa.slice(at, n)), _lists(wb.slice(at, n))
-            with np.errstate(over="ignore"):  # one key for row and gram; the hash of a gram is odd in all its bits
-                row = (np.arange(n, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-                p, q = p.view(np.uint64) * (row[i] | np.uint64(1)), q.view(np.uint64) * (row[j] | np.uint64(1))
-            order = np.argsort(q)
-            q = q[order]
-            place = np.minimum(np.searchsorted(q, p), len(q) - 1)
-            hit = q[place] == p
-            out[at:at + n] = np.bincount(i[hit], (u[hit] * v[order[place[hit]]]), n)
-        return pa.array(out)
-
-    return run(grams_a, weights_a, grams_b, weights_b)
+    def run(a: pa.Array, x: pa.Array, b: pa.Array, y: pa.Array) -> pa.Array:
+        a, b = a.fill_null("").dictionary_encode(), b.fill_null("").dictionary_encode()
+        sides = sorted(((t.dictionary.to_pylist(), t.indices.to_numpy(zero_copy_only=False).astype(np.int64)) for t in (a, b)), key=lambda t: len(t[0]))
+        (few, i), (many, j) = sides
+        dot = _dots(few, many, i, j, idf.value)
+        both = x.fill_null(0).to_numpy(zero_copy_only=False) * y.fill_null(0).to_numpy(zero_copy_only=False)
+        return pa.array(np.divide(dot, both, out=np.zeros(len(dot)), where=both > 0))
+
+    return run(a, norm_a, b, norm_b)

@@ -56,7 +56,7 @@ def _shared_tokens(s1, cand, field, cap):
     rare = token_frequency(cand, f"{field}_tokens").where(F.col("df") <= max(c for _, c in _caps(cap)))
     mine = s1.select(F.col("entity_id").alias("s"), F.col("country_norm").alias("sc"), F.explode(F.array_distinct(f"{field}_tokens")).alias("token"))
     hits = mine.join(held.join(rare, "token"), "token").where(compatible(F.col("sc"), F.col("cc")))
-    return hits.groupBy("s", "c").agg(*[F.count_if(F.col("df") <= c).alias(f"n_{field}{x}") for x, c in _caps(cap)])
+    return hits.select("s", "c", *[(F.col("df") <= c).cast("long").alias(f"n_{field}{x}") for x, c in _caps(cap)])
 
 
 def _same_key(s1, cand, field, cap):
@@ -77,7 +77,7 @@ def pair_table(s1: DataFrame, cand: DataFrame, config: BlockingConfig = Blocking
     parts = [_shared_tokens(s1, cand, "name", names), _shared_tokens(s1, cand, "address", addresses), _same_key(s1, cand, "name", config.bucket_cap), _same_key(s1, cand, "address", config.bucket_cap)]
     facts = [f"n_{f}{x}" for f, cap in (("name", names), ("address", addresses)) for x, _ in _caps(cap)] + ["name_exact", "address_exact"]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return rows.groupBy("s", "c").agg(*[F.coalesce(F.max(f), F.lit(0)).cast("long").alias(f) for f in facts])
+    return rows.groupBy("s", "c").agg(*[F.coalesce((F.max if f.endswith("_exact") else F.sum)(f), F.lit(0)).cast("long").alias(f) for f in facts])
 
 
 EXACT, TOKENS = DEFAULT_RULES[:2], DEFAULT_RULES[2:]

@@ -1,4 +1,6 @@
 """Features of candidate pairs."""
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,29 +64,23 @@ def chosen_sets(names: str | None = None, robustness: bool = False) -> dict[str,
     return {n: feature_set(n) for n in picked}
 
 
-def tfidf(records: DataFrame, column: str, low: int = 3, high: int = 5) -> DataFrame:
-    """(entity_id, gram, weight): L2-normal rows of tf * (ln((1 + N) / (1 + df)) + 1) over character grams."""
-    def of_length(n):
-        at = F.sequence(F.lit(1), F.greatest(F.length(column) - n + 1, F.lit(1)))
-        return F.when(F.length(column) >= n, F.transform(at, lambda i: F.substring(F.col(column), i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+def gram_frequency(records: DataFrame, column: str, low: int = 3, high: int = 5) -> DataFrame:
+    """(gram, df): for the hash of each character gram, the records that hold it."""
+    def count(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 4000):
+                h, _, _ = sim.counted(*sim.grams(b.column(0).slice(at, 4000).fill_null("").to_pylist(), low, high))
+                h, n = np.unique(h, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "df"])
 
-    grams = F.flatten(F.array(*[of_length(n) for n in range(low, high + 1)]))
-    tf = records.select("entity_id", F.explode(grams).alias("gram")).groupBy("entity_id", "gram").agg(F.count("*").alias("tf"))
-    df = tf.groupBy("gram").agg(F.count("*").alias("df"))
-    total = records.agg(F.count("*").alias("n"))  # one row
-    raw = tf.join(df, "gram").join(F.broadcast(total)).select("entity_id", "gram", (F.col("tf") * (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1)).alias("w"))
-    norm = raw.groupBy("entity_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, "entity_id").select("entity_id", "gram", (F.col("w") / F.col("norm")).alias("weight"))
+    return records.select(column).mapInArrow(count, "gram long, df long").groupBy("gram").agg(F.sum("df").alias("df"))
 
 
-def vectors(records: DataFrame, column: str, low: int = 3, high: int = 5) -> DataFrame:
-    """(entity_id, grams, weights): the rows of `tfidf` as two arrays a record, by rising hash of the gram.
-
-    So pairs meet two arrays, and no row for each pair and gram is made.
-    """
-    one = F.struct(F.xxhash64("gram").alias("g"), "weight")
-    rows = tfidf(records, column, low, high).groupBy("entity_id").agg(F.sort_array(F.collect_list(one)).alias("v"))
-    return rows.select("entity_id", F.col("v.g").alias("grams"), F.col("v.weight").alias("weights"))
+def fitted_idf(records: DataFrame, column: str, low: int = 3, high: int = 5):
+    """A broadcast sim.Idf of all records: 16 bytes for each gram that two of them hold, nothing for the others."""
+    shared = gram_frequency(records, column, low, high).where("df > 1").toArrow()
+    h, df = (shared[c].to_numpy() for c in ("gram", "df"))
+    return records.sparkSession.sparkContext.broadcast(sim.Idf(records.count(), h.view(np.uint64), df, low, high))
 
 
 def with_record(pairs: DataFrame, records: DataFrame, key: str, prefix: str, columns, namespace: str) -> DataFrame:
@@ -106,7 +102,7 @@ def pair_features(pairs: DataFrame, s1: DataFrame, cand: DataFrame, names=BASELI
     for product, parts in {"name_address_ratio_product": "ratio", "name_address_ratio_min": "ratio", "name_address_both_high": "ratio", "name_address_tfidf_product": "tfidf_cosine"}.items():
         if product in need:
             need |= {f"name_{parts}", f"address_{parts}"}
-    sides, plain = {"a_": s1, "b_": cand}, {f: [] for f in ("name", "address")}
+    sides, plain, idf = {"a_": s1, "b_": cand}, {f: [] for f in ("name", "address")}, {}
     columns = [c for f in ("name", "address") for c in (f"{f}_norm", f"{f}_tokens", f"{f}_char_ngrams")] + ["country_norm"]
     for f in plain:
         if f"{f}_tfidf_cosine" in need:
@@ -114,9 +110,9 @@ def pair_features(pairs: DataFrame, s1: DataFrame, cand: DataFrame, names=BASELI
             if records.where(F.length(f"{f}_norm") >= 3).isEmpty():
                 plain[f].append("tfidf_cosine")
                 continue
-            v = vectors(records, f"{f}_norm").select(F.col("entity_id").alias("__v"), F.col("grams").alias(f"{f}_grams"), F.col("weights").alias(f"{f}_weights")).persist()  # both sides read them
-            columns += [f"{f}_grams", f"{f}_weights"]
-            sides = {k: r.join(v, F.col("entity_id") == F.col("__v"), "left").drop("__v") for k, r in sides.items()}
+            idf[f] = fitted_idf(records, f"{f}_norm")
+            columns.append(f"{f}_norm_length")
+            sides = {k: r.withColumn(f"{f}_norm_length", sim.tfidf_norm(F.col(f"{f}_norm"), idf[f])) for k, r in sides.items()}
     out = pairs.select(as_text(F.col(ID1)).alias(ID1), as_text(F.col(ID2)).alias(ID2))
     out = with_record(with_record(out, sides["a_"], ID1, "a_", columns, "^S1-"), sides["b_"], ID2, "b_", columns, "^S[23]-")
     made = {}
@@ -127,7 +123,7 @@ def pair_features(pairs: DataFrame, s1: DataFrame, cand: DataFrame, names=BASELI
         if wanted:
             out = out.withColumn(f"__{f}", sim.ratios(a, b, wanted))
             made |= {f"{f}_{r}": F.col(f"__{f}")[r] for r in wanted}
-        made[f"{f}_tfidf_cosine"] = F.col(f"__{f}")["ratio"] if plain[f] else sim.sparse_dot(*[F.col(f"{k}_{f}_{v}") for k in "ab" for v in ("grams", "weights")]) if f"{f}_tfidf_cosine" in need else F.lit(None)
+        made[f"{f}_tfidf_cosine"] = F.col(f"__{f}")["ratio"] if plain[f] else sim.tfidf_cosine(a, F.col(f"a_{f}_norm_length"), b, F.col(f"b_{f}_norm_length"), idf[f]) if f"{f}_tfidf_cosine" in need else F.lit(None)
     a, b = F.col("a_country_norm"), F.col("b_country_norm")
     made |= {"country_exact": sim.exact(a, b), "country_nonempty_both": ((a != "") & (b != "")).cast("double"), "country_missing_either": ((a == "") | (b == "")).cast("double"), "country_both_missing": ((a == "") & (b == "")).cast("double")}
     out = out.withColumns({k: v for k, v in made.items() if k in need})

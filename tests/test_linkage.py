@@ -1,6 +1,8 @@
 import glob
+import math
 import os
 import random
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -406,3 +408,39 @@ def test_pareto(spark):
     report = spark.createDataFrame([("a", 10, 5.0, 6.0, 0.9), ("b", 12, 5.0, 6.0, 0.9), ("c", 9, 9.0, 9.0, 0.5), ("d", 10, 5.0, 6.0, 0.9)], "configuration string, candidates long, p95 double, p99 double, recall double")
     assert [r.configuration for r in blocking.pareto(report).collect()][0] == "c" and {r.configuration for r in blocking.pareto(report).collect()} == {"a", "c", "d"}
     assert evaluate.reduction_ratio(5, 2, 5) == 0.5 and evaluate.reduction_ratio(0, 0, 5) == 0.0
+
+
+# ---- pairs carry texts, not vectors or lists
+
+
+def slow_cosines(texts, pairs):
+    """By the definition, from counts of grams."""
+    bags = [Counter(t[i:i + n] for n in (3, 4, 5) for i in range(len(t) - n + 1)) for t in texts]
+    df = Counter(g for b in bags for g in b)
+    vectors = [{g: k * (math.log((1 + len(texts)) / (1 + df[g])) + 1) for g, k in b.items()} for b in bags]
+    size = [math.sqrt(sum(x * x for x in v.values())) for v in vectors]
+    return [sum(x * vectors[j].get(g, 0) for g, x in vectors[i].items()) / (size[i] * size[j]) if size[i] * size[j] else 0.0 for i, j in pairs]
+
+
+def test_cosines_equal_the_definition(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ab é日𝒳") for _ in range(rng.choice((0, 2, 3, 4, 30, 700)))) for _ in range(60)] + ["aaaa" * 9, "aaaa" * 9]
+    ids = [f"S{1 + (k % 3)}-{k}" for k in range(len(texts))]
+    r = preprocess(spark.createDataFrame([(i, "", "", "") for i in ids], "entity_id string, business_name string, business_address string, country string"))
+    r = r.drop("name_norm").join(spark.createDataFrame(list(zip(ids, texts)), "entity_id string, name_norm string"), "entity_id")
+    pairs = [(i, j) for i in range(0, len(ids), 3) for j in range(len(ids)) if j % 3]
+    s1, c = r.where("source = 'S1'"), r.where("source <> 'S1'")
+    got = features.pair_features(spark.createDataFrame([(ids[i], ids[j]) for i, j in pairs], PAIR), s1, c, ("name_tfidf_cosine",)).collect()
+    got = {(x[0], x[1]): x.name_tfidf_cosine for x in got}
+    assert [got[ids[i], ids[j]] for i, j in pairs] == pytest.approx(slow_cosines(texts, pairs), abs=1e-9)
+
+
+def test_grams_that_share_a_slot_count_each():
+    rng = random.Random(7)
+    few = ["".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(900)) for _ in range(3)]  # 2,700 grams each, in 2^16 slots
+    many = few + ["".join(rng.choice(few)[k:k + 300] for k in (0, 500)) for _ in range(5)]
+    none = sim.Idf(len(few) + len(many), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), 3, 5)
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(3), np.arange(len(many))))
+    bags = lambda t: Counter(t[k:k + n] for n in (3, 4, 5) for k in range(len(t) - n + 1))
+    want = [sum(k * bags(many[y])[g] for g, k in bags(few[x]).items()) * none.rare ** 2 for x, y in zip(i, j)]
+    assert sim._dots(few, many, i, j, none) == pytest.approx(want)
