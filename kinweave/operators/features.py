@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import similarity as sim
+from ..functions.normalize import char_ngrams, tokenize
 from .records import ID1, ID2, as_text, failing
 
 _PER_FIELD = ("exact", "ratio", "token_set_ratio", "token_sort_ratio", "jaccard", "overlap", "char_ngram_jaccard", "tfidf_cosine")
@@ -113,8 +114,14 @@ def pair_features(pairs: DataFrame, s1: DataFrame, cand: DataFrame, names=BASELI
             idf[f] = fitted_idf(records, f"{f}_norm")
             columns.append(f"{f}_norm_length")
             sides = {k: r.withColumn(f"{f}_norm_length", sim.tfidf_norm(F.col(f"{f}_norm"), idf[f])) for k, r in sides.items()}
+    # a list that follows from the text is made again where pairs meet, so that not every pair carries it through a shuffle
+    derived = {f"{f}_{x}": (f"{f}_norm", make) for f in plain for x, make in (("tokens", tokenize), ("char_ngrams", char_ngrams))}
+    same = {c: F.col(c).eqNullSafe(make(F.col(text))) for c, (text, make) in derived.items()}
+    sides = {k: r.withColumns({f"{c}_same": v for c, v in same.items()} | {c: F.when(~v, F.col(c)) for c, v in same.items()}) for k, r in sides.items()}
+    columns += [f"{c}_same" for c in derived]
     out = pairs.select(as_text(F.col(ID1)).alias(ID1), as_text(F.col(ID2)).alias(ID2))
     out = with_record(with_record(out, sides["a_"], ID1, "a_", columns, "^S1-"), sides["b_"], ID2, "b_", columns, "^S[23]-")
+    out = out.withColumns({k + c: F.when(F.col(f"{k}{c}_same"), make(F.col(k + text))).otherwise(F.col(k + c)) for k in sides for c, (text, make) in derived.items()})
     made = {}
     for f in plain:
         a, b, x, y = F.col(f"a_{f}_norm"), F.col(f"b_{f}_norm"), F.col(f"a_{f}_tokens"), F.col(f"b_{f}_tokens")

@@ -8,6 +8,7 @@ import duckdb
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from kinweave.functions import similarity as sim
 from kinweave.functions.normalize import preprocess
@@ -444,3 +445,13 @@ def test_grams_that_share_a_slot_count_each():
     bags = lambda t: Counter(t[k:k + n] for n in (3, 4, 5) for k in range(len(t) - n + 1))
     want = [sum(k * bags(many[y])[g] for g, k in bags(few[x]).items()) * none.rare ** 2 for x, y in zip(i, j)]
     assert sim._dots(few, many, i, j, none) == pytest.approx(want)
+
+
+def test_pairs_carry_no_lists_and_lists_of_their_own_stay(spark):
+    _, s1, c = small_records(spark)
+    pairs = spark.createDataFrame([("S1-1", "S2-1")], PAIR)
+    f = features.pair_features(pairs, s1, c, ("name_tfidf_cosine",))
+    assert "array" not in f._jdf.queryExecution().optimizedPlan().toString().split("Join")[0] and "collect_list" not in f._jdf.queryExecution().toString()
+    other = c.withColumn("name_tokens", F.array(F.lit("x"))).withColumn("name_char_ngrams", F.array(F.lit("y")))
+    got = features.pair_features(pairs, s1, other, ("name_jaccard", "name_char_ngram_jaccard", "address_jaccard")).first()
+    assert (got.name_jaccard, got.name_char_ngram_jaccard, got.address_jaccard) == (0, 0, 1)
