@@ -11,13 +11,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, as_batch, kept, slices, table
+from .common import arrow_schema, as_batch, kept, release, slices, table
 
 TIERS = (1024, 512, 256, 128)
 STEP = 8
 SPACE = re.compile(r"\s")
 #: Distinct words that a worker remembers with their ids, and how many new ones are encoded in one call.
-CACHE, TOGETHER = 1_000_000, 64
+CACHE, TOGETHER = 500_000, 64
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, step_group long"
 
 
@@ -41,7 +41,20 @@ class Encoder:
     def forget(self) -> None:
         self.index: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 16, dtype="<u4"), 0
-        self.start, self.size, self.kind, self.tail = (np.zeros(0, dtype=k) for k in (np.int64, np.int64, np.int8, bool))
+        self.start, self.size, self.kind, self.tail, self.again = (np.zeros(0, dtype=k) for k in (np.int64, np.int64, np.int8, bool, bool))
+
+    def thin(self) -> None:
+        """Remember only the words met again since the last call, none if they are more than half of what may be remembered."""
+        at = np.flatnonzero(self.again)
+        if len(at) > CACHE // 2:
+            return self.forget()
+        words, size = list(self.index), self.size[at]  # words stand by their numbers
+        end = np.cumsum(size)
+        self.index = {words[i]: k for k, i in enumerate(at)}
+        self.used = int(size.sum())
+        new = np.zeros(max(1 << 16, 2 * self.used), dtype="<u4")
+        new[:self.used] = self.flat[np.repeat(self.start[at] - end + size, size) + np.arange(self.used)]
+        self.flat, self.start, self.size, self.kind, self.tail, self.again = new, end - size, size, self.kind[at], self.tail[at], np.zeros(len(at), dtype=bool)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
@@ -70,19 +83,21 @@ class Encoder:
         self.size = np.concatenate([self.size, size])
         self.kind = np.concatenate([self.kind, np.array([kind[i] for i in order], dtype=np.int8)])
         self.tail = np.concatenate([self.tail, np.array([words[i][-1:].isspace() for i in order], dtype=bool)])
+        self.again = np.concatenate([self.again, np.zeros(len(order), dtype=bool)])
         self.used += len(new)
         self.index.update(zip((words[i] for i in order), range(len(self.index), len(self.index) + len(words))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.index) > CACHE:
-            self.forget()
+            self.thin()
         parts = [("\n" + t.replace("\n", " \n")).split(" ") for t in texts]
-        new = set().union(*parts).difference(self.index)
+        new, old = set().union(*parts).difference(self.index), len(self.index)
         if new:
             self.learn(list(new))
         out, slow = [], []
         for n, p in enumerate(parts):
             at = np.fromiter(map(self.index.__getitem__, p), dtype=np.int64, count=len(p))
+            self.again[at[at < old]] = True
             kind = self.kind[at]
             alone = np.flatnonzero(kind == 2)
             if (kind == 3).any() or len(alone) and (alone[-1] + 1 == len(p) or (kind[alone + 1] != 1).any() or (kind[alone - 1] == 2)[alone > 0].any() or self.tail[at[alone - 1]][alone > 0].any()):
@@ -175,6 +190,7 @@ def pack_documents(docs: DataFrame, vocab_path: str, window: int = TIERS[0], gro
             yield as_batch(list(zip(*out)) or [[]] * len(schema), schema)
 
     def fill(t):
+        release()  # the words that encode remembers
         t = t.to_pydict()
         order = sorted(range(len(t["g"])), key=lambda k: (t["doc_id"][k] is None, t["doc_id"][k] or 0, t["start"][k], t["n"][k], t["ids"][k] or b"", t["crc"][k]))
         base = t["g"][0] << 32

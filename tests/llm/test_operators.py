@@ -214,6 +214,32 @@ def test_encoder_gives_the_tokenizer_s_ids():
     assert got == e.whole(texts)
 
 
+def test_encoder_forgets_words_met_once(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 400)
+    rng = random.Random(4)
+    usual = ["tal", "der", "12", "é", "x\ny", "日本"]
+    texts = [" ".join([*usual, *(f"w{rng.random()}" for _ in range(9)), *usual[::-1]]) for _ in range(300)]
+    e, most = packing.Encoder(str(packing.public_tokenizers.path("byte_bpe_50k.json"))), 0
+    for i in range(0, len(texts), 10):
+        assert [x.tolist() for x in e.encode(texts[i:i + 10])] == e.whole(texts[i:i + 10])
+        most = max(most, len(e.index))
+    assert most <= 400 + 110
+    e.thin()
+    assert {"der", "12", "é", "日本"} <= set(e.index) and len(e.index) < 20
+
+
+def test_packing_frees_words_before_it_fills(spark):
+    path = str(packing.public_tokenizers.path("byte_bpe_50k.json"))
+    packing.pack_documents(spark.createDataFrame([(k, f"a b {k}") for k in range(200)], "doc_id long, text string").repartition(8), path).count()
+
+    def held(_):
+        from kinweave.llm import common
+
+        yield path in common._KEPT
+
+    assert not all(spark.sparkContext.parallelize(range(8), 8).mapPartitions(held).collect())
+
+
 def test_packing_round_trip(spark, docs):
     from tokenizers import Tokenizer
 
