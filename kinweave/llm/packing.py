@@ -1,9 +1,11 @@
 """Hierarchical packing of documents into sequences of several lengths."""
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
+from collections import defaultdict
+from itertools import count, islice
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -15,19 +17,28 @@ from .common import arrow_schema, as_batch, kept, release, slices, table
 
 TIERS = (1024, 512, 256, 128)
 STEP = 8
-SPACE = re.compile(r"\s")
+#: Marks that end words, and letters and digits that the tokenizer parts from marks after them.
+MARKS, LETTERS = punctuation, frozenset(c for c in map(chr, range(0x250)) if c.isalnum())
 #: Distinct words that a worker remembers with their ids, and how many new ones are encoded in one call.
 CACHE, TOGETHER = 500_000, 64
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier long, step_group long"
 
 
+def spans(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """What flat holds from each start on, as much as size says, one after the other."""
+    end = np.cumsum(size)
+    return flat[np.repeat(start - end + size, size) + np.arange(end[-1] if len(end) else 0)]
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE tokenizer that cuts before each space; words met before are not encoded again.
 
     A space before a visible character, and a line break between visible ones,
     always begin a new part of a text, and parts are encoded apart from each
     other. So a text is the parts between spaces, each remembered by its ids.
-    Texts with other white space around spaces or breaks are encoded whole.
+    Texts with other white space around spaces or breaks are encoded whole. The
+    tokenizer also cuts between a letter or digit and marks after it, so a new
+    word that ends in marks takes the ids of the word without them, if known.
     """
 
     def __init__(self, path: str):
@@ -39,9 +50,9 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: defaultdict[str, int] = defaultdict(count().__next__)  # numbers words as they are met
         self.flat, self.used = np.zeros(1 << 16, dtype="<u4"), 0
-        self.start, self.size, self.kind, self.tail, self.again = (np.zeros(0, dtype=k) for k in (np.int64, np.int64, np.int8, bool, bool))
+        self.start, self.size, self.kind, self.tail, self.again = (np.zeros(1 << 12, dtype=k) for k in (np.int64, np.int64, np.int8, bool, bool))
 
     def thin(self) -> None:
         """Remember only the words met again since the last call, none if they are more than half of what may be remembered."""
@@ -49,66 +60,87 @@ class Encoder:
         if len(at) > CACHE // 2:
             return self.forget()
         words, size = list(self.index), self.size[at]  # words stand by their numbers
-        end = np.cumsum(size)
-        self.index = {words[i]: k for k, i in enumerate(at)}
-        self.used = int(size.sum())
-        new = np.zeros(max(1 << 16, 2 * self.used), dtype="<u4")
-        new[:self.used] = self.flat[np.repeat(self.start[at] - end + size, size) + np.arange(self.used)]
-        self.flat, self.start, self.size, self.kind, self.tail, self.again = new, end - size, size, self.kind[at], self.tail[at], np.zeros(len(at), dtype=bool)
+        self.index = defaultdict(count(len(at)).__next__, ((words[i], k) for k, i in enumerate(at.tolist())))
+        ids = spans(self.flat, self.start[at], size)
+        self.flat, self.used = np.zeros(max(1 << 16, 2 * len(ids)), dtype="<u4"), len(ids)
+        self.flat[:self.used] = ids
+        self.start, self.size, self.kind, self.tail, self.again = np.cumsum(size) - size, size, self.kind[at], self.tail[at], np.zeros(len(at), dtype=bool)
 
     def whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, words: list[str]) -> None:
-        """Remember words. Kinds: 0 follows a space, 1 follows a line break, 2 is a line break alone, 3 needs its whole text."""
-        kind = [(2 if w == "\n" else 3 if not w[1:] or w[1].isspace() else 1) if w[:1] == "\n" else 3 if not w or w[0].isspace() else 0 for w in words]
-        plain = [i for i, k in enumerate(kind) if k < 2 and not SPACE.search(words[i], k)]
-        rest = sorted(set(range(len(words))) - set(plain))
-        own = [words[i][1:] if kind[i] else " " + words[i] for i in plain]
+    def add(self, ids: np.ndarray) -> int:
+        """Where these ids now stand."""
+        at, self.used = self.used, self.used + len(ids)
+        while self.used > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[at:self.used] = ids
+        return at
+
+    def learn(self, words: list[str], old: int) -> None:
+        """Remember words numbered from old on. Kinds: 0 follows a space, 1 follows a line break, 2 is a line break alone, 3 needs its whole text."""
+        lines: dict[str, int] = {}  # what is to be encoded, and then its number
+        kind, plain, head, marked, marks, rest = [], [], [], [], [], []
+        for i, w in enumerate(words):
+            broken = w[:1] == "\n"
+            own = w[1:] if broken else " " + w
+            if not own.isprintable() or not own.strip():  # no other white space is printable
+                kind.append((2 if not own else 3 if own[0].isspace() else 1) if broken else 3 if not w or w[0].isspace() else 0)
+                rest.append(i)
+                continue
+            kind.append(1 if broken else 0)
+            stem, k = own.rstrip(MARKS), old
+            if len(stem) < len(own) and stem[-1:] in LETTERS:
+                marked.append(len(plain))
+                marks.append(lines.setdefault(own[len(stem):], len(lines)))
+                k = self.index.get(w[:len(stem) - len(own)], old)
+                own = stem
+            plain.append(i)
+            head.append(k if k < old else old + lines.setdefault(own, len(lines)))
+        own = list(lines)
         groups = self.whole(["\n".join(own[at:at + TOGETHER]) for at in range(0, len(own), TOGETHER)])
-        ids = np.array([x for g in groups for x in (self.line, *g)], dtype="<u4")  # now each word begins with the break before it
+        ids = np.array([x for g in groups for x in (self.line, *g)], dtype="<u4")  # now each line begins with the break before it
         at = np.flatnonzero(ids == self.line)
-        size = np.diff(np.append(at, len(ids)))
-        spaced = np.array([kind[i] == 0 for i in plain], dtype=bool)
-        start, size = at + spaced, size - spaced  # a word after a space goes without the break
+        spaced = np.array([x[0] == " " for x in own], dtype=bool)  # goes without the break
+        first, long = self.add(ids) + at + spaced, np.diff(np.append(at, len(ids))) - spaced
+        while old + len(words) > len(self.start):
+            self.start, self.size, self.kind, self.tail, self.again = (np.concatenate([x, np.zeros(max(len(x), 1 << 12), dtype=x.dtype)]) for x in (self.start, self.size, self.kind, self.tail, self.again))
+        head, known, late = np.array(head, dtype=np.int64), np.array(head, dtype=np.int64) < old, slice(old, old + len(words))
+        start, size = np.zeros(len(head), dtype=np.int64), np.zeros(len(head), dtype=np.int64)
+        start[known], size[known] = self.start[head[known]], self.size[head[known]]
+        start[~known], size[~known] = first[head[~known] - old], long[head[~known] - old]
+        both = [np.stack(x, axis=1) for x in ((start[marked], first[marks] + 1), (size[marked], long[marks] - 1))] if marked else None
+        if both:
+            size[marked] = both[1].sum(axis=1)
+            start[marked] = self.add(spans(self.flat, both[0].ravel(), both[1].ravel())) + np.cumsum(size[marked]) - size[marked]
+        self.start[late][plain], self.size[late][plain], self.kind[late] = start, size, kind
         alone = self.whole([words[i] if kind[i] else " " + words[i] for i in rest])
-        extra = np.array([len(x) for x in alone], dtype=np.int64)
-        start, size = np.concatenate([start, len(ids) + np.cumsum(extra) - extra]), np.concatenate([size, extra])
-        new = np.concatenate([ids, np.array([y for x in alone for y in x], dtype="<u4")])
-        order = [*plain, *rest]
-        while self.used + len(new) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[self.used:self.used + len(new)] = new
-        self.start = np.concatenate([self.start, self.used + start])
-        self.size = np.concatenate([self.size, size])
-        self.kind = np.concatenate([self.kind, np.array([kind[i] for i in order], dtype=np.int8)])
-        self.tail = np.concatenate([self.tail, np.array([words[i][-1:].isspace() for i in order], dtype=bool)])
-        self.again = np.concatenate([self.again, np.zeros(len(order), dtype=bool)])
-        self.used += len(new)
-        self.index.update(zip((words[i] for i in order), range(len(self.index), len(self.index) + len(words))))
+        size = np.array([len(x) for x in alone], dtype=np.int64)
+        self.start[late][rest] = self.add(np.array([y for x in alone for y in x], dtype="<u4")) + np.cumsum(size) - size
+        self.size[late][rest], self.tail[late][rest] = size, [words[i][-1:].isspace() for i in rest]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if not texts:
+            return []
         if len(self.index) > CACHE:
             self.thin()
-        parts = [("\n" + t.replace("\n", " \n")).split(" ") for t in texts]
-        new, old = set().union(*parts).difference(self.index), len(self.index)
-        if new:
-            self.learn(list(new))
-        out, slow = [], []
-        for n, p in enumerate(parts):
-            at = np.fromiter(map(self.index.__getitem__, p), dtype=np.int64, count=len(p))
-            self.again[at[at < old]] = True
-            kind = self.kind[at]
-            alone = np.flatnonzero(kind == 2)
-            if (kind == 3).any() or len(alone) and (alone[-1] + 1 == len(p) or (kind[alone + 1] != 1).any() or (kind[alone - 1] == 2)[alone > 0].any() or self.tail[at[alone - 1]][alone > 0].any()):
-                slow.append(n)
-                out.append(None)
-                continue
-            size = self.size[at]
-            end = np.cumsum(size)
-            out.append(self.flat[np.repeat(self.start[at] - end + size, size) + np.arange(end[-1])][1:])  # less the break before the text
-        for n, ids in zip(slow, self.whole([texts[n] for n in slow])):
-            out[n] = np.array(ids, dtype="<u4")
+        old = len(self.index)
+        parts = " ".join(["\n" + t.replace("\n", " \n") for t in texts]).split(" ")
+        at = np.fromiter(map(self.index.__getitem__, parts), dtype=np.int64, count=len(parts))
+        if len(self.index) > old:
+            self.learn(list(islice(reversed(self.index), len(self.index) - old))[::-1], old)
+        self.again[at[at < old]] = True
+        last = np.cumsum([1 + t.count(" ") + t.count("\n") for t in texts]) - 1
+        kind, size = self.kind[at], self.size[at]
+        odd, alone = kind == 3, np.flatnonzero(kind == 2)
+        opens, closes = np.zeros(len(parts), dtype=bool), np.zeros(len(parts), dtype=bool)
+        opens[np.append(0, last[:-1] + 1)], closes[last] = True, True
+        odd[alone] = closes[alone] | (np.append(kind, 1)[alone + 1] != 1) | ~opens[alone] & ((kind[alone - 1] == 2) | self.tail[at[alone - 1]])
+        ids, end = spans(self.flat, self.start[at], size), np.cumsum(size)[last]
+        out = [ids[s + 1:e] for s, e in zip([0, *end.tolist()], end.tolist())]  # less the break before each text
+        slow = np.unique(np.searchsorted(last, np.flatnonzero(odd))).tolist()
+        for n, own in zip(slow, self.whole([texts[n] for n in slow])):
+            out[n] = np.array(own, dtype="<u4")
         return out
 
 
@@ -179,14 +211,14 @@ def pack_documents(docs: DataFrame, vocab_path: str, window: int = TIERS[0], gro
             out = []
             ids = b["doc_id"].to_pylist()
             for i, ids in zip(ids, coder.encode([t or "" for t in b["text"].to_pylist()])):
-                ids = np.append(ids, np.uint32(0)).astype("<u4")
-                raw = ids.tobytes()
+                raw = ids.tobytes() + bytes(4)
+                size = len(raw) // 4
                 g = zlib.crc32(raw, zlib.crc32(b"deal%d" % (-1 if i is None else i))) % groups
-                full = len(ids) // window * window
+                full = size // window * window
                 for s in range(0, full, window):
-                    out.append((g, i, s, window, zlib.crc32(raw[4 * s:4 * (s + window)]), len(ids), None))
-                if full < len(ids):
-                    out.append((g, i, full, len(ids) - full, 0, len(ids), raw[4 * full:]))
+                    out.append((g, i, s, window, zlib.crc32(raw[4 * s:4 * (s + window)]), size, None))
+                if full < size:
+                    out.append((g, i, full, size - full, 0, size, raw[4 * full:]))
             yield as_batch(list(zip(*out)) or [[]] * len(schema), schema)
 
     def fill(t):

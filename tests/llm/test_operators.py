@@ -228,6 +228,30 @@ def test_encoder_forgets_words_met_once(monkeypatch):
     assert {"der", "12", "é", "日本"} <= set(e.index) and len(e.index) < 20
 
 
+def test_encoder_takes_known_words_before_marks(monkeypatch):
+    e, asked = packing.Encoder(str(packing.public_tokenizers.path("byte_bpe_50k.json"))), []
+    ids = e.whole
+    e.encode(["x anble tion\nshing"])
+    monkeypatch.setattr(e, "whole", lambda texts: asked.extend(texts) or ids(texts))
+    texts = ["x anble, tion. anble?!\nshing,\nshing. tion", "x anble. tion,\nshing?!"]
+    got = [x.tolist() for x in e.encode(texts)]
+    assert set("\n".join(asked).split("\n")) == {",", ".", "?!"}  # no word again
+    assert got == ids(texts)
+
+
+def test_encoder_cuts_marks_off_where_the_tokenizer_does():
+    assert all(c == " " or not c.isprintable() for c in map(chr, range(0x110000)) if c.isspace())
+    e, rng = packing.Encoder(str(packing.public_tokenizers.path("byte_bpe_50k.json"))), random.Random(5)
+    ends = [*packing.MARKS, "###", "'", "'.", "...", "<|endoftext|>"]
+    texts = [f"x{c}{m} {c}{m}\n{c}{m}\n\nx{c}{m}" for c in sorted(packing.LETTERS) for m in ends]
+    parts = ["a", "é", "9", "²", "½", "ª", "µ", "×", "一", "à", "e\u0301", "°", "_", "'s", "n't", ".", ",", "'", "’", "\u200b", " ", " ", "\n", "\t"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(6000)]
+    rng.shuffle(texts)
+    for i in range(0, len(texts), 300):
+        assert [x.tolist() for x in e.encode(texts[i:i + 300])] == e.whole(texts[i:i + 300])
+    assert e.encode([]) == []
+
+
 def test_packing_frees_words_before_it_fills(spark):
     path = str(packing.public_tokenizers.path("byte_bpe_50k.json"))
     packing.pack_documents(spark.createDataFrame([(k, f"a b {k}") for k in range(200)], "doc_id long, text string").repartition(8), path).count()
