@@ -1,6 +1,7 @@
 """Helpers shared by the training-data operators."""
 from __future__ import annotations
 
+import ctypes
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -47,9 +48,32 @@ def kept(key, make: Callable):
     return _KEPT[key]
 
 
+def trim() -> None:
+    """Give memory that is free in this worker back to the machine; the C library and Arrow keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    if f := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc's
+        f(0)
+
+
 def release() -> None:
     """Free what the worker remembers, where a task needs the memory for its own."""
     _KEPT.clear()
+    trim()
+
+
+#: Bytes of rows that Spark hands a worker at once; by its default only their number is bounded, however long their texts.
+BATCH_BYTES = 4 << 20
+
+
+def map_batches(df: DataFrame, f: Callable, schema) -> DataFrame:
+    """mapInArrow over batches of about BATCH_BYTES at most, as worker and executor hold them whole.
+
+    The bound is set for the session, and stays; one that it has already is kept.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, None) is None:
+        conf.set(key, str(BATCH_BYTES))
+    return df.mapInArrow(f, schema)
 
 
 def slices(batches, rows: int = 256) -> Iterator[pa.RecordBatch]:
@@ -57,6 +81,7 @@ def slices(batches, rows: int = 256) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+        trim()
 
 
 def per_batch(df: DataFrame, f: Callable, schema: str, rows: int = 256) -> DataFrame:
@@ -67,7 +92,7 @@ def per_batch(df: DataFrame, f: Callable, schema: str, rows: int = 256) -> DataF
         for b in slices(batches, rows):
             yield as_batch(f(b), kinds)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def hash_words(words: list[str]) -> np.ndarray:

@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import kept, per_batch, slices, table
+from .common import kept, map_batches, per_batch, slices, table
 
 UNKNOWN = 1e-7
 #: Distinct words that a worker remembers with their likelihoods.
@@ -240,7 +240,7 @@ def predict(docs: DataFrame, langs: list[str], model: dict[str, tuple], keep=("d
                         got[i], score[i] = langs[best[i]], float(share[i])
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), pa.array(got, pa.string()), pa.array(score, pa.float64())], names=[*names, *out])
 
-    return docs.select(*read).mapInArrow(run, schema)
+    return map_batches(docs.select(*read), run, schema)
 
 
 def op2_language(spark, sf_dir) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, as_batch, drop, hash_words, mix, ngram_hashes, per_batch, release, slices, table, written
+from .common import arrow_schema, as_batch, drop, hash_words, map_batches, mix, ngram_hashes, per_batch, release, slices, table, written
 
 K = 5
 SKETCHES = 32
@@ -213,7 +213,7 @@ def by_group(rows: DataFrame, key: list[str], f, schema: str) -> DataFrame:
         if out:
             yield as_batch(list(zip(*out)), kinds)
 
-    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, schema)
+    return map_batches(rows.repartition(*key).sortWithinPartitions(*key), run, schema)
 
 
 def found_classes(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:

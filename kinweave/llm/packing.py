@@ -1,6 +1,7 @@
 """Hierarchical packing of documents into sequences of several lengths."""
 from __future__ import annotations
 
+import os
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
@@ -13,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, as_batch, kept, release, slices, table
+from .common import arrow_schema, as_batch, kept, map_batches, release, slices, table
 
 TIERS = (1024, 512, 256, 128)
 STEP = 8
@@ -44,6 +45,7 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # each thread of its own would keep memory, and tasks use all cores
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         (self.line,) = self.whole(["\n"])[0]
@@ -241,7 +243,7 @@ def pack_documents(docs: DataFrame, vocab_path: str, window: int = TIERS[0], gro
         step = steps(tiers, used, STEP * window)
         return pa.Table.from_batches([as_batch([*zip(*out), [tiers[r[5] - base] for r in out], [base + step[r[5] - base] for r in out]], pieces)])
 
-    return docs.select("doc_id", "text").mapInArrow(encode, kinds).groupBy("g").applyInArrow(fill, PIECES)
+    return map_batches(docs.select("doc_id", "text"), encode, kinds).groupBy("g").applyInArrow(fill, PIECES)
 
 
 def op4_packing(spark, sf_dir) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import WORD, drop, hash_words, mix, ngram_hashes, release, slices, table, written
+from .common import WORD, drop, hash_words, map_batches, mix, ngram_hashes, release, slices, table, written
 
 WINDOW = 20
 SEED = 8
@@ -129,7 +129,7 @@ def spans(rows: DataFrame, f, schema: str) -> DataFrame:
     out = rows.select("p").schema
     for t in StructType.fromDDL(schema).fields:
         out = out.add(t)
-    return rows.mapInArrow(run, out)
+    return map_batches(rows, run, out)
 
 
 def repeats(docs: DataFrame, p) -> DataFrame:
@@ -203,7 +203,7 @@ def cleaned(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
             new = {"text": pa.array(texts, pa.string()), "__words": pa.array(n, pa.int64()), "__removed": pa.array(gone, pa.int64())}
             yield pa.RecordBatch.from_arrays([new[c] if c in new else b[c] for c in out.names], names=out.names)
 
-    return marked.mapInArrow(run, out)
+    return map_batches(marked, run, out)
 
 
 def op10_substrings(spark, sf_dir) -> DataFrame:
@@ -214,4 +214,4 @@ def op10_substrings(spark, sf_dir) -> DataFrame:
             kept = [hashlib.sha256(" ".join(WORD.findall(t or "")).encode()).hexdigest() for t in b["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["__words"], b["__removed"], pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return out.mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return map_batches(out, digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")

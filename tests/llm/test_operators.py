@@ -1,7 +1,10 @@
 import hashlib
 import math
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
 from functools import lru_cache
@@ -14,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kinweave.llm import chat, decontaminate, html, language, licenses, neardup, packing, quality, substrings, urls
+from kinweave.llm import chat, common, decontaminate, html, language, licenses, neardup, packing, quality, substrings, urls
 from kinweave.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -264,6 +267,26 @@ def test_packing_frees_words_before_it_fills(spark):
     assert not all(spark.sparkContext.parallelize(range(8), 8).mapPartitions(held).collect())
 
 
+def test_workers_get_long_texts_in_small_batches(spark):
+    long = spark.range(0, 300, 1, 1).selectExpr("id as doc_id", "repeat('long text ', 20000) as text")
+    held = common.per_batch(long, lambda b: [[b["text"].buffers()[2].size]], "n long").collect()  # of the whole batch
+    assert 0 < max(r.n for r in held) <= 2 * common.BATCH_BYTES
+    ids = packing.pack_documents(long, str(packing.public_tokenizers.path("byte_bpe_50k.json"))).selectExpr("sum(length) as n", "count(distinct doc_id) as k").first()
+    assert ids.n % 300 == 0 and ids.n > 300 * 40000 and ids.k == 300
+
+
+def test_encoder_starts_no_threads():
+    own = """if True:
+        import os
+        from kinweave.llm import packing
+        old = len(os.listdir("/proc/self/task"))
+        e = packing.Encoder(str(packing.public_tokenizers.path("byte_bpe_50k.json")))
+        e.encode([" ".join(f"w{i}" for i in range(9000))] * 3 + ["\\tx"] * 50)
+        print(len(os.listdir("/proc/self/task")) - old)"""
+    env = {k: v for k, v in os.environ.items() if k != "TOKENIZERS_PARALLELISM"}
+    assert subprocess.run([sys.executable, "-c", own], env=env, capture_output=True, text=True, check=True).stdout == "0\n"
+
+
 def test_packing_round_trip(spark, docs):
     from tokenizers import Tokenizer
 
