@@ -114,22 +114,25 @@ def pair_features(pairs: DataFrame, s1: DataFrame, cand: DataFrame, names=BASELI
             idf[f] = fitted_idf(records, f"{f}_norm")
             columns.append(f"{f}_norm_length")
             sides = {k: r.withColumn(f"{f}_norm_length", sim.tfidf_norm(F.col(f"{f}_norm"), idf[f])) for k, r in sides.items()}
-    # a list that follows from the text is made again where pairs meet, so that not every pair carries it through a shuffle
+    # lists that follow from the text are not carried: where both sides of a pair have such lists, the sets are compared by the texts
     derived = {f"{f}_{x}": (f"{f}_norm", make) for f in plain for x, make in (("tokens", tokenize), ("char_ngrams", char_ngrams))}
-    same = {c: F.col(c).eqNullSafe(make(F.col(text))) for c, (text, make) in derived.items()}
+    same = {c: F.col(text).isNotNull() & F.col(c).eqNullSafe(make(F.col(text))) for c, (text, make) in derived.items()}
     sides = {k: r.withColumns({f"{c}_same": v for c, v in same.items()} | {c: F.when(~v, F.col(c)) for c, v in same.items()}) for k, r in sides.items()}
     columns += [f"{c}_same" for c in derived]
     out = pairs.select(as_text(F.col(ID1)).alias(ID1), as_text(F.col(ID2)).alias(ID2))
     out = with_record(with_record(out, sides["a_"], ID1, "a_", columns, "^S1-"), sides["b_"], ID2, "b_", columns, "^S[23]-")
-    out = out.withColumns({k + c: F.when(F.col(f"{k}{c}_same"), make(F.col(k + text))).otherwise(F.col(k + c)) for k in sides for c, (text, make) in derived.items()})
+    by_text = {c: F.col(f"a_{c}_same") & F.col(f"b_{c}_same") for c in derived}
+    out = out.withColumns({k + c: F.when(by_text[c], None).when(F.col(f"{k}{c}_same"), make(F.col(k + text))).otherwise(F.col(k + c)) for k in sides for c, (text, make) in derived.items()})
     made = {}
     for f in plain:
-        a, b, x, y = F.col(f"a_{f}_norm"), F.col(f"b_{f}_norm"), F.col(f"a_{f}_tokens"), F.col(f"b_{f}_tokens")
-        made |= {f"{f}_exact": sim.exact(a, b), f"{f}_jaccard": sim.jaccard(x, y), f"{f}_overlap": sim.overlap(x, y), f"{f}_char_ngram_jaccard": sim.jaccard(F.col(f"a_{f}_char_ngrams"), F.col(f"b_{f}_char_ngrams")), f"{f}_length_ratio": sim.length_ratio(a, b), f"{f}_token_containment_s1": sim.containment(x, y), f"{f}_token_containment_candidate": sim.containment(y, x), f"{f}_numeric_jaccard": sim.jaccard(sim.numeric_tokens(x), sim.numeric_tokens(y)), f"{f}_numeric_overlap": sim.overlap(sim.numeric_tokens(x), sim.numeric_tokens(y))}
-        wanted = tuple(r for r in sim.RATIOS if f"{f}_{r}" in need or r == "ratio" and plain[f])
+        a, b, x, y, g, h = (F.col(f"{k}_{f}_{c}") for c in ("norm", "tokens", "char_ngrams") for k in "ab")
+        made |= {f"{f}_exact": sim.exact(a, b), f"{f}_length_ratio": sim.length_ratio(a, b)}
+        by_list = {"jaccard": sim.jaccard(x, y), "overlap": sim.overlap(x, y), "char_ngram_jaccard": sim.jaccard(g, h), "token_containment_s1": sim.containment(x, y), "token_containment_candidate": sim.containment(y, x), "numeric_jaccard": sim.jaccard(sim.numeric_tokens(x), sim.numeric_tokens(y)), "numeric_overlap": sim.overlap(sim.numeric_tokens(x), sim.numeric_tokens(y))}
+        wanted = tuple(r for r in sim.COMPARED if f"{f}_{r}" in need or r == "ratio" and plain[f])
         if wanted:
             out = out.withColumn(f"__{f}", sim.ratios(a, b, wanted))
             made |= {f"{f}_{r}": F.col(f"__{f}")[r] for r in wanted}
+            made |= {f"{f}_{r}": F.when(by_text[f"{f}_char_ngrams" if r == "char_ngram_jaccard" else f"{f}_tokens"], made[f"{f}_{r}"]).otherwise(c) for r, c in by_list.items() if r in wanted}
         made[f"{f}_tfidf_cosine"] = F.col(f"__{f}")["ratio"] if plain[f] else sim.tfidf_cosine(a, F.col(f"a_{f}_norm_length"), b, F.col(f"b_{f}_norm_length"), idf[f]) if f"{f}_tfidf_cosine" in need else F.lit(None)
     a, b = F.col("a_country_norm"), F.col("b_country_norm")
     made |= {"country_exact": sim.exact(a, b), "country_nonempty_both": ((a != "") & (b != "")).cast("double"), "country_missing_either": ((a == "") | (b == "")).cast("double"), "country_both_missing": ((a == "") & (b == "")).cast("double")}

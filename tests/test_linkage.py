@@ -2,6 +2,7 @@ import glob
 import math
 import os
 import random
+import time
 from collections import Counter
 
 import duckdb
@@ -455,3 +456,45 @@ def test_pairs_carry_no_lists_and_lists_of_their_own_stay(spark):
     other = c.withColumn("name_tokens", F.array(F.lit("x"))).withColumn("name_char_ngrams", F.array(F.lit("y")))
     got = features.pair_features(pairs, s1, other, ("name_jaccard", "name_char_ngram_jaccard", "address_jaccard")).first()
     assert (got.name_jaccard, got.name_char_ngram_jaccard, got.address_jaccard) == (0, 0, 1)
+
+
+# ---- many pairs of texts at once
+
+
+def _some_texts(n, size, seed):
+    r = np.random.default_rng(seed)
+    words = ["de", "la", "ción", "7", "٣", "a", "mente", "12b", "os"] + ["".join(r.choice(list("aeionrst"), r.integers(2, 9))) for _ in range(300)]
+    return [" ".join(r.choice(words, size))[:6 * size] for _ in range(n)]
+
+
+def test_ratios_take_little_time():
+    a, b = [x for x in _some_texts(100, 13, 1) for _ in range(40)], _some_texts(4000, 13, 2)
+    sim.partial(a[:10], b[:10])
+    began = time.process_time()
+    for f in (sim.indel, sim.token_sets, sim.sorted_tokens, sim.partial):
+        f(a, b)
+    assert (time.process_time() - began) / len(a) < 200e-6  # 460e-6 and more with windows one by one
+
+
+def test_compared_as_brute_force():
+    a, b = _some_texts(150, 5, 3) + _some_texts(6, 60, 4) + ["", "", "a", "a a", "7", "b  a", " ", "漢字 か", "x" * 300], _some_texts(150, 5, 5) + _some_texts(6, 70, 6) + ["", "a", "a", "a", "٣", "a b", "a", "か 漢", "x" * 299 + "y"]
+    got = sim.compared(a, b, tuple(sim.COMPARED))
+    either = lambda x, y, of: 1.0 if not x and not y else 0.0 if not x or not y else len(x & y) / of
+    for i, (x, y) in enumerate(zip(a, b)):
+        s, t = ({*z.split(" ")} if z else set() for z in (x, y))
+        g, h = ({f"^{z}$"[k:k + 3] for k in range(len(z))} for z in (x, y))
+        u, v = ({w for w in z if any(map(str.isdecimal, w))} for z in (s, t))
+        want = {"jaccard": either(s, t, len(s | t)), "overlap": either(s, t, min(len(s), len(t))), "char_ngram_jaccard": either(g, h, len(g | h)), "token_containment_s1": either(s, t, len(s)), "token_containment_candidate": either(s, t, len(t)), "numeric_jaccard": either(u, v, len(u | v)), "numeric_overlap": either(u, v, min(len(u), len(v)))}
+        want |= {"ratio": slow_ratio(x, y), "token_set_ratio": slow_sets(x, y), "token_sort_ratio": slow_ratio(" ".join(sorted(x.split())), " ".join(sorted(y.split())))}
+        want |= {"partial_ratio": slow_partial(x, y)} if len(x) + len(y) < 120 else {}
+        assert {n: got[n][i] for n in want} == want, (x, y)
+
+
+def test_sets_follow_lists_that_differ_from_the_text(spark):
+    rows = [("S1-1", "ab cd", ["ab", "cd"], ["x"]), ("S2-2", "ab ce", ["zz", "cd"], ["x", "y"]), ("S2-3", "ab ce", ["ab", "ce"], None)]
+    r = spark.createDataFrame(rows, "entity_id string, name_norm string, name_tokens array<string>, grams array<string>")
+    r = r.selectExpr("entity_id", "name_norm", "name_norm as address_norm", "'' as country_norm", "name_tokens", "name_tokens as address_tokens", "grams as name_char_ngrams", "grams as address_char_ngrams")
+    pairs = spark.createDataFrame([("S1-1", "S2-2"), ("S1-1", "S2-3")], PAIR)
+    names = ("name_jaccard", "name_overlap", "name_char_ngram_jaccard", "address_token_containment_s1", "name_ratio")
+    got = {x[1]: tuple(x[4:]) for x in features.pair_features(pairs, r.where("entity_id = 'S1-1'"), r.where("entity_id <> 'S1-1'"), names).collect()}
+    assert got["S2-2"] == pytest.approx((1 / 3, 0.5, 0.5, 0.5, 0.8)) and got["S2-3"][:2] == pytest.approx((1 / 3, 0.5)) and got["S2-3"][3:] == pytest.approx((0.5, 0.8))
